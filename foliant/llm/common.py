@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import to_workers
+
 #: ASCII white space, as every contract on words and lines has it.
 SPACE = r"[\x20\x09-\x0D]"
 #: Bytes of one Arrow batch sent to a Python worker; bounds a worker's memory whatever the row length.
@@ -22,6 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bound_batches(spark: SparkSession) -> None:
     """Limit Arrow batches by bytes, so that very long texts don't pile up in one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    to_workers(spark)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

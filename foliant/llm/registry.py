@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, media, packing, token_counts
+from pyspark.sql import functions as F
+
+from . import bpe, line_dedup, media, packing, quality, secrets, sql, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -14,6 +16,11 @@ def query(f):
     return f
 
 
+@query
+def op2_quality_rules(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
@@ -29,6 +36,21 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+@query
+def op7_secret_scans(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.apply(docs, line_dedup.keep_bitmaps(docs))
+    return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op10_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES |= {"op2_quality_rules": sql.quality_rules(), "op8_line_dedup": sql.LINE_DEDUP}
