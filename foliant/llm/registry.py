@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, media, packing, quality, secrets, sql, token_counts
+from . import bpe, line_dedup, media, packing, pii, quality, secrets, sql, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -21,6 +21,12 @@ def op2_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_pii_surrogates(spark, sf_dir):
+    found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("__n_entities").alias("n_entities"), "text")
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
