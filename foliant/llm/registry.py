@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, media, packing, pii, quality, secrets, sql, token_counts
+from . import bpe, hmm, line_dedup, media, ngram_join, packing, pii, quality, secrets, sql, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -16,6 +16,11 @@ def query(f):
     return f
 
 
+@query
+def op1_hmm_scoring(spark, sf_dir):
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -54,6 +59,11 @@ def op8_line_dedup(spark, sf_dir):
     return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join.classes(table(spark, sf_dir, "documents")).drop("tag")
+
+
 @query
 def op10_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
