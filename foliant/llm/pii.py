@@ -25,19 +25,24 @@ TITLES = {"f": "Mrs Ms Miss Frau Madame Mme Señora Doña".split(), "m": "Mr Her
 _NAME = r"\p{Lu}[\p{Ll}'’-]+"
 #: kind: pattern; earlier kinds win where two could start at one place. Fixed values.
 PATTERNS = {
-    "mail": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "address": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
-    "account": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "number": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])\+\d{1,3}(?:[\x20.-]?\(\d{1,4}\))?(?:[\x20.-]?\d{2,4}){2,5}(?!\d)|(?<![\w(])\(\d{3}\)\x20?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    "card": r"(?<![A-Za-z0-9])\d(?:[\x20-]?\d){12,18}(?![A-Za-z0-9])",
-    "person": rf"\b(?:{'|'.join(TITLES['f'] + TITLES['m'])})\.?\x20{_NAME}(?:\x20{_NAME})?|\b(?:{'|'.join(FEMALE + MALE)})\x20{_NAME}",
+    "mail": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "address": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
+    "account": r"(?=[A-Z])(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "number": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "phone": r"(?=\+)(?<![\w+])\+\d{1,3}(?:[\x20.-]?\(\d{1,4}\))?(?:[\x20.-]?\d{2,4}){2,5}(?!\d)|(?=\()(?<![\w(])\(\d{3}\)\x20?\d{3}-\d{4}(?!\d)|(?=\d)(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
+    "card": r"(?=\d)(?<![A-Za-z0-9])\d(?:[\x20-]?\d){12,18}(?![A-Za-z0-9])",
+    "person": rf"(?=\p{{Lu}})\b(?:{'|'.join(TITLES['f'] + TITLES['m'])})\.?\x20{_NAME}(?:\x20{_NAME})?|(?=\p{{Lu}})\b(?:{'|'.join(FEMALE + MALE)})\x20{_NAME}",
 }
 ANY = "|".join(PATTERNS.values())
 #: Rounds of drawing again before it is an error; each leaves about the square of the share that clashed.
 ROUNDS = 20
 
 
+def has_entity(text: Column) -> Column:
+    """Whether any pattern matches; all but person need a digit or an @, which is quick to rule out."""
+    return F.when(text.contains("@") | text.rlike(r"\d"), text.rlike(ANY)).otherwise(text.rlike(PATTERNS["person"]))
+
+
 def kind_of(entity: Column) -> Column:
     out = None
     for kind, pattern in PATTERNS.items():
@@ -148,7 +153,7 @@ def formatted(kind: Column, mention: Column, new: Column) -> Column:
 
 def _mentions(texts: DataFrame) -> DataFrame:
     """doc, tag, i, mention, kind, entity of every mention; rows that are the same text of the same id are one."""
-    found = texts.select("__doc", "__tag", F.regexp_extract_all("__text", F.lit(ANY), F.lit(0)).alias("found")).where(F.size("found") > 0)
+    found = texts.where(has_entity(F.col("__text"))).select("__doc", "__tag", F.regexp_extract_all("__text", F.lit(ANY), F.lit(0)).alias("found")).where(F.size("found") > 0)
     each = found.select("__doc", "__tag", F.posexplode("found").alias("i", "mention")).withColumn("kind", kind_of(F.col("mention")))
     return each.withColumn("entity", canonical(F.col("kind"), F.col("mention")))
 
@@ -191,7 +196,7 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key
     new = surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)
     said = tried.select("__doc", "__tag", F.struct("i", formatted(F.col("kind"), F.col("mention"), new).alias("new")).alias("s"))
     by = scratch.write(said.groupBy("__doc", "__tag").agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["new"]).alias("__new")), "new")
-    has = F.col("__text").rlike(ANY)
+    has = has_entity(F.col("__text"))
     # An id may be null, so the join is by its hash and the text's.
     same = lambda df: df.withColumn("__id", F.xxhash64("__doc"))
     joined = same(keyed.where(has)).join(same(by).select("__id", "__tag", "__new"), ["__id", "__tag"], "left")
