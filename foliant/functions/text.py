@@ -96,7 +96,7 @@ def abstract_of_index(index: Column) -> Column:
     """the text of an inverted index (word to positions); gaps stay empty, the last word of a place wins."""
     pairs = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
     top = F.array_max(F.transform(pairs, lambda x: x["p"]))
-    at = lambda k: F.coalesce(F.element_at(F.filter(pairs, lambda x: x["p"] == k), -1)["w"], F.lit(""))
+    at = lambda k: F.coalesce(F.try_element_at(F.filter(pairs, lambda x: x["p"] == k), F.lit(-1))["w"], F.lit(""))
     return F.when(F.size(pairs) > 0, F.array_join(F.transform(F.sequence(F.lit(0), top), at), " "))
 
 

@@ -32,8 +32,8 @@ def json_rows(rows: DataFrame, key: str, columns: list[str], name: str) -> DataF
 
 def publications(works: DataFrame, pubs: DataFrame, venues: DataFrame, authors: DataFrame, subjects: DataFrame) -> DataFrame:
     """Authors and subjects (work_id, name, position) as text beside each publication."""
-    by_author = joined_text(authors, "work_id", "name", ["position", "name"], "authors_search")
-    by_subject = joined_text(subjects, "work_id", "name", ["position", "name"], "subjects_search")
+    by_author = joined_text(authors, "work_id", "name", ["position"], "authors_search")
+    by_subject = joined_text(subjects, "work_id", "name", ["position"], "subjects_search")
     rows = works.withColumnRenamed("id", "work_id").join(pubs.withColumnRenamed("id", "publication_id"), "work_id")
     rows = rows.join(venues.select(F.col("id").alias("venue_id"), F.col("name").alias("venue_search")), "venue_id", "left")
     return rows.join(by_author, "work_id", "left").join(by_subject, "work_id", "left")
