@@ -30,7 +30,7 @@ PATTERNS = {
     "account": r"(?=[A-Z])(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "number": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?=\+)(?<![\w+])(?:\+\d{7,15}|\+\d{1,3}[\x20.-]?\(\d{1,4}\)[\x20.-]?\d{3,4}[\x20.-]?\d{3,4}|\+\d{1,3}(?:[\x20.-]\d{2,4}){2,4})(?!\d)|(?=\()(?<![\w(])\(\d{3}\)\x20?\d{3}-\d{4}(?!\d)|(?=\d)(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    "card": r"(?=\d)(?<![A-Za-z0-9])\d(?:[\x20-]?\d){12,18}(?![A-Za-z0-9])",
+    "card": r"(?=\d)(?<![A-Za-z0-9])\d(?:[\x20-]?\d){12,18}(?![A-Za-z0-9]|\.\d)",
     "person": rf"(?=\p{{Lu}})\b(?:{'|'.join(TITLES['f'] + TITLES['m'])})\.?\x20{_NAME}(?:\x20{_NAME})?|(?=\p{{Lu}})\b(?:{'|'.join(FEMALE + MALE)})\x20{_NAME}",
 }
 ANY = "|".join(PATTERNS.values())
