@@ -176,7 +176,11 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """The rows of docs that judge() keeps, with their own columns; the features are computed anew, which costs no shuffle of texts."""
     scratch = Scratch(docs.sparkSession, "quality")
-    cuts = scratch.write(calibrate(measured(docs, id_col, text_col, stratum_col), labels), "cuts")
+    rows = scratch.write(measured(docs, id_col, text_col, stratum_col), "rows")
+    cuts = scratch.write(calibrate(rows, labels), "cuts")
+    scratch.drop("rows")
     f = features(F.coalesce(F.col(text_col), F.lit("")))
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), f.alias("f"))
-    return verdict(inner.select("__row", "stratum", "f.*"), cuts).where("kept").select("__row.*")
+    # Not a bare `kept`: a part of it would be pushed below the features and compute them twice.
+    stays = F.array_contains(F.array("kept"), True)
+    return verdict(inner.select("__row", "stratum", "f.*"), cuts).where(stays).select("__row.*")
