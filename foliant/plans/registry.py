@@ -390,3 +390,6 @@ def f_page_text(spark, sf_dir):
 
     to_workers(spark)
     return table(spark, sf_dir, "pages").select("page_id", text.ingest_text(F.col("html")).alias("ingest"), text.cleaned_text(F.col("html")).alias("cleaned"))
+
+
+from . import loading  # noqa: E402, F401  (registers its queries)
