@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from foliant.operators import citations, keys, metrics, resolve
+from foliant.operators import citations, keys, metrics, resolve, venues, works
 from foliant.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -71,3 +71,23 @@ def test_remap_keeps_one_row_a_key(spark):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(registry.ORACLES) <= set(entry.queries())
+
+
+def test_venue_records(spark):
+    stored = spark.createDataFrame([(1, "A", "JOURNAL", None, None), (2, " ", None, "x", "i2")], "id long, name string, aggregation_type string, type string, issn string")
+    new = spark.createDataFrame([(1, "B", "BOOK", "i1"), (2, "C", "REPOSITORY", "i9")], "id long, name string, type string, issn string")
+    got = venues.enrich_openalex(stored, new).select("id", "name", "type", "issn").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "A", "JOURNAL", "i1"), (2, "C", "REPOSITORY", "i2")]
+    records = spark.createDataFrame([(10, "Z", "I2"), (11, "N", "i7"), (12, "N", "i7")], "rid long, name string, issn string")
+    all_, ids = venues.create_missing(stored.drop("type"), records, ["issn"])
+    assert {r.rid: r.id for r in ids.collect()} == {10: 2, 11: 3, 12: 3} and all_.count() == 3
+
+
+def test_role_audit(spark):
+    cols = "work_id long, person_id long, role string, position int, affiliation_id long, is_corresponding int"
+    held = spark.createDataFrame([(1, 1, "AUTHOR", 1, None, 0), (2, 1, "AUTHOR", 1, None, 0), (3, 1, "AUTHOR", 1, None, 0), (3, 1, "EDITOR", 1, None, 0)], cols)
+    want = spark.createDataFrame([(1, 1, "author", 1, None, None), (2, 1, "EDITOR", 2, 5, 1), (3, 1, "TRANSLATOR", 1, None, None), (9, 1, "AUTHOR", 1, None, None)], cols)
+    stored = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    assert {r.work_id: r.status for r in works.audit_roles(held, want, stored).collect()} == {1: "unchanged", 2: "changed", 3: "conflict", 9: "missing_db_record"}
+    rows, _ = works.reconcile_authorships(held, want)
+    assert [tuple(r) for r in rows.where("work_id = 2").collect()] == [(2, 1, "EDITOR", 2, 5, 1)]
