@@ -21,9 +21,9 @@ def title_case(s: Column) -> Column:
     A text in capitals throughout is lowered first; words that mix cases or hold a stop inside keep their form.
     """
     shout = (s == F.upper(s)) & (s != F.lower(s))
-    words = F.split(F.when(shout, F.lower(s)).otherwise(s), " ", -1)
+    split = F.split(F.when(shout, F.lower(s)).otherwise(s), " ", -1)
 
-    def one(w, i):
+    def one(words, w, i):
         bare = F.lower(F.regexp_replace(w, r"[^\p{L}]", ""))
         inner = (i > 0) & (i < F.size(words) - 1) & ~F.coalesce(F.get(words, i - 1).endswith(":"), F.lit(False))
         first = F.regexp_extract(w, r"^[^\p{L}]*", 0)
@@ -32,7 +32,8 @@ def title_case(s: Column) -> Column:
         own = w.rlike(r"\p{Ll}.*\p{Lu}|\p{L}\.\p{L}")
         return F.when(own, w).when(inner & bare.isin(*SMALL), F.lower(w)).otherwise(capital)
 
-    return F.array_join(F.transform(words, one), " ")
+    # An array of the one array, so that a long text is split once, not anew for each word.
+    return F.array_join(F.get(F.transform(F.array(split), lambda words: F.transform(words, lambda w, i: one(words, w, i))), F.lit(0)), " ")
 
 
 def country_codes(rows: DataFrame, name: str, codes: DataFrame | None = None) -> DataFrame:

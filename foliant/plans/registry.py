@@ -392,4 +392,4 @@ def f_page_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.ingest_text(F.col("html")).alias("ingest"), text.cleaned_text(F.col("html")).alias("cleaned"))
 
 
-from . import loading  # noqa: E402, F401  (registers its queries)
+from . import loading, whole  # noqa: E402, F401  (register their queries)
