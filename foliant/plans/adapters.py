@@ -90,3 +90,54 @@ class Tables:
     def venue_subjects(self) -> DataFrame:
         rows = self.raw("lineitem").where("l_partkey % 5 = 0").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return rows.groupBy(F.expr("o_custkey % 97").alias("venue_id"), F.expr("l_partkey % 120").alias("subject_id")).agg(F.max("l_discount").alias("score"))
+
+
+def _whole(sql: str) -> str:
+    """SQL over whole tables: the projections of SURVEY 7.1, without the subsets and folded ids of SQL."""
+    for old, new in (
+        ("o_custkey % 97 AS venue_id, year", "o_custkey AS venue_id, year"),
+        ("o_custkey % 31, year", "o_custkey, year"),
+        ("l_partkey % 60 END", "l_partkey END"),
+        ("FROM customer WHERE c_custkey < 100)", "FROM customer)"),
+        ("FROM part WHERE p_partkey <= 80)", "FROM part)"),
+        ("o_custkey % 97 AS venue_id, l_partkey % 120 AS subject_id", "o_custkey AS venue_id, l_partkey AS subject_id"),
+        ("l_orderkey = o_orderkey WHERE l_partkey % 5 = 0 GROUP", "l_orderkey = o_orderkey GROUP"),
+    ):
+        if sql.count(old) != 1:
+            raise ValueError(f"not once in SQL: {old}")
+        sql = sql.replace(old, new)
+    return sql
+
+
+WHOLE_SQL = _whole(SQL)
+
+
+class WholeTables(Tables):
+    """The engine's tables over all rows of the driver's: every customer a venue, every part a tier, ids as they are."""
+
+    @property
+    def publications(self) -> DataFrame:
+        o = self.raw("orders")
+        first = o.selectExpr("o_orderkey id", "o_orderkey work_id", "o_custkey venue_id", "year(o_orderdate) year", "o_orderkey % 2 open_access", "concat('10.1/', o_orderkey) doi")
+        return first.union(o.where("o_orderkey % 5 = 0").selectExpr("-o_orderkey", "o_orderkey", "o_custkey", "year(o_orderdate) + 1", "o_orderkey % 3", "concat('10.2/', o_orderkey)"))
+
+    @property
+    def authorships(self) -> DataFrame:
+        return self.raw("lineitem").selectExpr(
+            "l_orderkey work_id", "l_suppkey person_id", "case when l_linenumber <> 7 then l_partkey end affiliation_id", "l_returnflag role", "l_linenumber position", "case when l_linenumber = 1 then 1 else 0 end is_corresponding"
+        )
+
+    @property
+    def venues(self) -> DataFrame:
+        return self.raw("customer").selectExpr("c_custkey id", "c_name name", "case when c_custkey % 3 = 0 then 1 else 0 end open_access", "case when c_custkey % 2 = 0 then c_custkey % 6 end llm_relevance")
+
+    @property
+    def tiers(self) -> DataFrame:
+        return self.raw("part").selectExpr(
+            "p_partkey subject_id", "case when p_partkey % 2 = 0 then 'OpenAlex' else 'Scopus' end vocabulary", "case when p_partkey % 7 = 0 then 'N' else 'A' end tier", "cast(p_partkey % 11 as double) weight"
+        )
+
+    @property
+    def venue_subjects(self) -> DataFrame:
+        rows = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return rows.groupBy(F.col("o_custkey").alias("venue_id"), F.col("l_partkey").alias("subject_id")).agg(F.max("l_discount").alias("score"))

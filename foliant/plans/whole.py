@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import places, text
-from .registry import query, table
+from ..operators import integrity, keys, ranking, summaries
+from . import transform
+from .adapters import SQL, WHOLE_SQL, WholeTables
+from .registry import ORACLES, query, table
 
 _SPACE = r"[\p{Z}\t-\r\x{85}]+"
 _EDGE = r"[\p{Z}\p{Cc}\p{Cf}\p{Po}\p{Pd}\p{Pc}|·•…]+"
@@ -59,3 +62,96 @@ def f_text_unicode(spark, sf_dir):
     to_workers(spark)
     x = F.col("text")
     return table(spark, sf_dir, "documents").select("doc_id", text.filter_text(x).alias("filtered"), places.title_case(x).alias("cased"))
+
+
+def over_whole(name: str, sql: str):
+    """Register a query of WholeTables with SQL that may read the same tables."""
+    return query(name, f"WITH {WHOLE_SQL} {sql}")
+
+
+def _select(name: str) -> str:
+    """What a registered query selects, to be read over whole tables; its own SQL stays as it is."""
+    return ORACLES[name].removeprefix(f"WITH {SQL} ")
+
+
+@over_whole("r21_subject_scores_whole", _select("r21_subject_scores"))
+def r21_subject_scores_whole(spark, sf_dir):
+    t = WholeTables(spark, sf_dir)
+    return ranking.subject_scores(t.venues, t.venue_subjects, t.subjects, t.tiers).withColumn("subject_score", F.round("subject_score", 6))
+
+
+@over_whole("w2_top_subjects_whole", _select("w2_top_subjects"))
+def w2_top_subjects_whole(spark, sf_dir):
+    return summaries.top_subjects(WholeTables(spark, sf_dir).venue_subjects).withColumn("rank", F.col("rank").cast("long"))
+
+
+@over_whole("m14_open_access_whole", _select("m14_open_access"))
+def m14_open_access_whole(spark, sf_dir):
+    t = WholeTables(spark, sf_dir)
+    return integrity.open_access_from_venues(t.publications, t.venues).select("id", "work_id", "open_access")
+
+
+@over_whole(
+    "r22_summary_publications_whole",
+    """, a AS (SELECT work_id, string_agg(role, ' ' ORDER BY position, role) AS authors_search FROM auths GROUP BY 1)
+    SELECT w.id AS work_id, citation_count, work_type, p.id AS publication_id, p.venue_id, year, p.open_access, doi, v.name AS venue_search, authors_search, work_type AS subjects_search
+    FROM works w JOIN pubs p ON p.work_id = w.id LEFT JOIN venues v ON v.id = p.venue_id LEFT JOIN a ON a.work_id = w.id""",
+)
+def r22_summary_publications_whole(spark, sf_dir):
+    t = WholeTables(spark, sf_dir)
+    authors = t.authorships.select("work_id", F.col("role").alias("name"), "position")
+    return summaries.publications(t.works, t.publications, t.venues, authors, t.works.selectExpr("id work_id", "work_type name", "1 position"))
+
+
+@over_whole(
+    "m4_merge_scores_whole",
+    """, e AS (SELECT venue_id, subject_id, score, 'old' AS source FROM vsubs), n AS (SELECT venue_id, subject_id + 1 AS subject_id, CASE WHEN subject_id % 3 > 0 THEN 0.05 END AS score, 'new' AS source FROM vsubs)
+    SELECT coalesce(e.venue_id, n.venue_id) AS venue_id, coalesce(e.subject_id, n.subject_id) AS subject_id,
+    CASE WHEN e.venue_id IS NOT NULL AND n.venue_id IS NOT NULL THEN greatest(coalesce(e.score, 0), coalesce(n.score, 0)) ELSE coalesce(e.score, n.score) END AS score, coalesce(n.source, e.source) AS source
+    FROM e FULL JOIN n ON e.venue_id = n.venue_id AND e.subject_id = n.subject_id""",
+)
+def m4_merge_scores_whole(spark, sf_dir):
+    """All stored rows against all rows one subject on, so that some meet and some are on one side only."""
+    v = WholeTables(spark, sf_dir).venue_subjects
+    new = v.selectExpr("venue_id", "subject_id + 1 subject_id", "case when subject_id % 3 > 0 then 0.05d end score", "'new' source")
+    return keys.merge_scores(v.withColumn("source", F.lit("old")), new)
+
+
+@over_whole("c1_transform_whole", _select("c1_transform"))
+def c1_transform_whole(spark, sf_dir):
+    t = WholeTables(spark, sf_dir)
+    catalog = {n: getattr(t, n) for n in ("works", "publications", "authorships", "references", "venues", "persons", "subjects", "tiers", "venue_subjects")}
+    return transform.run(catalog, F.lit("now"), 1998)["summary_persons"].select("person_id", "preferred_name", "total_works", "h_index")
+
+
+_CORE = """SELECT affiliation_id FROM auths a JOIN pubs p ON a.work_id = p.work_id JOIN venues v ON p.venue_id = v.id
+       WHERE llm_relevance >= 4 AND affiliation_id IS NOT NULL GROUP BY 1 ORDER BY count(DISTINCT person_id) DESC, affiliation_id LIMIT 500"""
+
+
+def _ranking_sql() -> str:
+    """The ranking from its components' SQL; the penalised subject score as it is before rounding."""
+    parts, _, last = _select("r21_subject_scores").partition("SELECT venue_id, round(")
+    score = last.rpartition(", 6) AS subject_score FROM s")[0]
+    ratio = lambda x, n, top: f"least({x} * 100.0 / nullif({n}, 0) / {top}, 2.0)"
+    conf = lambda n: f"least(1.0, ln(1 + {n}) / ln(51))"
+    given = lambda c: f"CASE WHEN subject_score > 0 THEN coalesce({c}, 0) ELSE 0 END AS {c}"
+    return f"""{parts}, sub AS (SELECT venue_id, {score} AS subject_score FROM s), core AS ({_CORE}),
+    au AS (SELECT venue_id, round({ratio("x", "n", "10.0")} * {conf("n")}, 3) AS authorship_score FROM (
+      SELECT venue_id, count(DISTINCT CASE WHEN h_index >= 5 THEN person_id END) AS x, count(DISTINCT person_id) AS n
+      FROM pubs p JOIN auths a ON a.work_id = p.work_id JOIN persons e ON a.person_id = e.id WHERE venue_id IS NOT NULL GROUP BY 1)),
+    af AS (SELECT venue_id, round({ratio("x", "n", "15.0")} * {conf("everyone")}, 3) AS affiliation_score FROM (
+      SELECT venue_id, count(DISTINCT CASE WHEN core.affiliation_id IS NOT NULL THEN person_id END) AS x, count(DISTINCT CASE WHEN a.affiliation_id IS NOT NULL THEN person_id END) AS n,
+        count(DISTINCT person_id) AS everyone
+      FROM pubs p JOIN auths a ON a.work_id = p.work_id LEFT JOIN core ON a.affiliation_id = core.affiliation_id WHERE venue_id IS NOT NULL GROUP BY 1)),
+    ci AS (SELECT a.venue_id, round({ratio("count(CASE WHEN subject_score >= 5 THEN 1 END)", "count(*)", "40.0")}, 3) AS citation_score
+      FROM refs r JOIN pubs a ON r.citing_work_id = a.work_id JOIN pubs b ON r.cited_work_id = b.work_id LEFT JOIN sub ON b.venue_id = sub.venue_id WHERE a.venue_id IS NOT NULL GROUP BY 1),
+    k AS (SELECT v.id AS venue_id, subject_score, CAST(CASE WHEN subject_score > 0 AND open_access = 1 THEN 0.2 ELSE 0 END AS DOUBLE) AS oa_score, {given("authorship_score")}, {given("affiliation_score")}, {given("citation_score")},
+      CAST(coalesce(llm_relevance, 0) * 2 AS DOUBLE) AS llm_score
+      FROM venues v JOIN sub ON v.id = sub.venue_id LEFT JOIN au ON v.id = au.venue_id LEFT JOIN af ON v.id = af.venue_id LEFT JOIN ci ON v.id = ci.venue_id)
+    SELECT *, CASE WHEN subject_score > 0 OR llm_score > 0 THEN round(subject_score + oa_score + authorship_score + affiliation_score + citation_score + llm_score, 3) ELSE 0 END AS total_score FROM k"""
+
+
+@over_whole("r21_venue_ranking_whole", _ranking_sql())
+def r21_venue_ranking_whole(spark, sf_dir):
+    t = WholeTables(spark, sf_dir)
+    return ranking.rank(t.venues, t.venue_subjects, t.subjects, t.tiers, t.authorships, t.publications, t.persons, t.references)

@@ -9,7 +9,7 @@ from test_operators import DATA
 
 from foliant.functions import text
 from foliant.functions.places import SMALL
-from foliant.plans import registry
+from foliant.plans import adapters, registry
 
 
 def texts(spark):
@@ -51,3 +51,17 @@ def test_unicode_functions_on_whole_texts(spark):
 @pytest.mark.parametrize("function, want", [(text.upper_first, "A" + "b" * 200), (text.title_from_letters, "a" + "b" * 200), (text.term_key, "a" + "b" * 200)])
 def test_functions_do_not_cut(spark, function, want):
     assert spark.range(1).select(function(F.lit("a" + "b" * 200)).alias("x")).first().x == want
+
+
+def test_whole_tables(spark):
+    n = {t: spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("customer", "orders", "lineitem", "part")}
+    pairs = n["lineitem"].join(n["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey").distinct()
+    whole = adapters.WholeTables(spark, DATA)
+    assert whole.venues.count() == n["customer"].count() > 100
+    assert whole.tiers.count() == n["part"].count() > 81
+    assert whole.venue_subjects.count() == pairs.count()
+    ranked = registry.QUERIES["r21_venue_ranking_whole"](spark, DATA)
+    assert ranked.count() == n["customer"].count()
+    merged = registry.QUERIES["m4_merge_scores_whole"](spark, DATA)
+    assert merged.select("venue_id", "subject_id").join(pairs.toDF("venue_id", "subject_id"), ["venue_id", "subject_id"]).count() == pairs.count()
+    assert registry.QUERIES["r22_summary_publications_whole"](spark, DATA).where("subjects_search is null or venue_search is null").count() == 0
