@@ -23,13 +23,40 @@ FEMALE = "Alice Anna Carmen Charlotte Clara Elena Emma Eva Greta Hannah Helene I
 MALE = "Adam Alex Andreas Antonio Carlos Daniel David Diego Emil Felix Hugo Ivan Jakob James Jean John Jorge Karl Lukas Marco Martin Michael Paul Peter Robert Thomas".split()
 TITLES = {"f": "Mrs Ms Miss Frau Madame Mme Señora Doña".split(), "m": "Mr Herr Monsieur Señor Don".split()}
 _NAME = r"\p{Lu}[\p{Ll}'’-]+"
+_SEP = r"[\x20./-]"
+_FRENCH = r"0[1-9](?:[\x20.-]\d{2}){4}"
+_GERMAN = r"(?!(?:\d{4}[\x20-]){3}\d)0[1-9]\d{1,4}[\x20/-](?:\d{6,8}|\d{2,5}(?:[\x20-]\d{2,6}){1,3}|\d{4,5})"
+_NEXT = rf"(?:\d{{4}}[\x20-]){{3}}\d|\d{{4}}[\x20-]\d{{6}}[\x20-]\d{{5}}|\d{{3}}-\d{{2}}-\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}}|{_FRENCH}|{_GERMAN}"
+
+
+def _behind(least: int, most: int, end: str = "") -> str:
+    """After a plus with so many digits and their separators, then end; written out, as Java bounds no repeated group here."""
+    one, more = r"[\x20./()-]{0,2}\d", ""
+    for _ in range(most - least):
+        more = rf"(?:{one}{more})?"
+    return rf"(?<=\+{one * least}{more}{end})"
+
+
+#: A further group; none after a space that begins a dotted address, nor, after 7 digits, a card or another number.
+_GROUP = rf"(?:[./-]\d{{1,8}}|\x20(?!(?:\d{{1,3}}\.){{3}}\d{{1,3}}(?!\d|\.\d))(?!{_behind(7, 14, ' ')}(?:{_NEXT}))\d{{1,8}})"
+#: +1 and +33 in their own grouping, other codes with groups of 1 to 8 digits, 7 to 15 digits in all; national forms.
+_PHONE = "|".join(
+    [
+        rf"(?=\+)(?<![\w+])(?:\+\d{{7,15}}|\+1{_SEP}?\d{{3}}{_SEP}?\d{{3}}{_SEP}?\d{{4}}|\+\d{{1,3}}{_SEP}?\(\d{{3}}\){_SEP}?\d{{3}}{_SEP}?\d{{4}}|\+33{_SEP}?(?:\(0\)\x20?)?\d(?:{_SEP}?\d{{2}}){{4}}"
+        rf"|\+\d{{1,3}}{_SEP}?\(\d{{1,4}}\){_SEP}?\d{{1,8}}{_GROUP}{{0,5}}{_behind(7, 15)}|\+\d{{1,6}}{_GROUP}{{1,6}}{_behind(7, 15)})(?!\d)",
+        r"(?=\()(?<![\w(])\(\d{3}\)\x20?\d{3}-\d{4}(?!\d)",
+        r"(?=\d)(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
+        r"(?=\d)(?<![\w.])\d{3}\.\d{3}\.\d{4}(?!\w|\.\d)",
+        rf"(?=0)(?<![\w+]|\d[.,/-])(?:{_FRENCH}|{_GERMAN})(?!\w|[.,/-]\d)",
+    ]
+)
 #: kind: pattern; earlier kinds win where two could start at one place. Fixed values.
 PATTERNS = {
     "mail": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "address": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "account": r"(?=[A-Z])(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "number": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?=\+)(?<![\w+])(?:\+\d{7,15}|\+\d{1,3}[\x20.-]?\(\d{1,4}\)[\x20.-]?\d{3,4}[\x20.-]?\d{3,4}|\+\d{1,3}(?:[\x20.-]\d{2,4}){2,4})(?!\d)|(?=\()(?<![\w(])\(\d{3}\)\x20?\d{3}-\d{4}(?!\d)|(?=\d)(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
+    "phone": _PHONE,
     "card": r"(?=\d)(?<![A-Za-z0-9])\d(?:[\x20-]?\d){12,18}(?![A-Za-z0-9]|\.\d)",
     "person": rf"(?=\p{{Lu}})\b(?:{'|'.join(TITLES['f'] + TITLES['m'])})\.?\x20{_NAME}(?:\x20{_NAME})?|(?=\p{{Lu}})\b(?:{'|'.join(FEMALE + MALE)})\x20{_NAME}",
 }

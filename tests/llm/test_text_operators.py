@@ -312,3 +312,21 @@ def test_pipeline_keeps_clean_documents(spark):
     rows = corpus_pipeline.run(spark, DATA).collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
     assert sum(r.length for r in rows) == sum({r.doc_id: r.doc_tokens for r in rows}.values())
+
+
+PHONES = ["+49 170 1234567", "+49 30 123456", "+33 1 23 45 67 89", "+33 6 12 34 56 78", "+49 (0)30 123456", "0171 1234567", "06 12 34 56 78", "555.123.4567", "+33.1.23.45.67.89", "030/123456", "+4930 123456"]
+#: What may follow a number, and must stay a mention of its own.
+AFTER_PHONE = ["10.0.0.1", "4111 1111 1111 1111", "123-45-6789", "0171 7654321", "06 98 76 54 32", "555-123-9999"]
+
+
+def test_phone_formats(spark):
+    alone = [f"call {p}, or" for p in PHONES] + [f"{p}." for p in PHONES]
+    pairs = [f"at {p} {q} now" for p in PHONES for q in AFTER_PHONE]
+    none = ["2024-01-02 and 01-02-2024", "0.123456 of 1,030 1234567", "v1.2.3.4000", "id 0a171 1234567x"]
+    texts = spark.createDataFrame(list(enumerate(alone + pairs + none)), "doc_id long, text string")
+    rows = texts.select("doc_id", F.regexp_extract_all("text", F.lit(pii.ANY), F.lit(0)).alias("found")).orderBy("doc_id").collect()
+    want = [[p] for p in PHONES + PHONES] + [[p, q] for p in PHONES for q in AFTER_PHONE] + [[] for _ in none]
+    assert [r.found for r in rows] == want
+    out = {r.doc_id: r for r in pii.replace(texts).collect()}
+    assert [out[k]["__n_entities"] for k in range(len(want))] == [len(x) for x in want]
+    assert not any(p in out[k].text for k, found in enumerate(want) for p in found)
