@@ -5,8 +5,8 @@ not: an account name (ident), a long random-looking run (blob), an address (endp
 where the other parts of a credential lie within SCOPE characters of the same text: a blob next to an
 identifier, an account name next to a secret, an address next to both.
 
-The interval join of a text's parts with each other is a range frame over their places, so neighbours are
-counted, never paired; nothing but span lengths is shuffled, and only of texts that hold any. Everything is
+The interval join of a text's parts with each other is a running greatest end of those before and least start
+of those after each part, so neighbours are never paired; nothing but span lengths is shuffled, and only of texts that hold any. Everything is
 DataFrame and SQL functions.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from .common import Scratch, id_and_text
 
-#: Characters between linked parts, from start to start.
+#: Characters between linked parts, from the end of the earlier to the start of the later.
 SCOPE = 400
 _RUN = "A-Za-z0-9+/_.=-"
 #: kind: pattern, group and characters that the group must have; in the order in which equal starts are listed.
@@ -67,11 +67,14 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope
     flat = rows.where(F.size("parts") > 0).select("key", F.inline("parts"))
     before = Window.partitionBy("key", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = flat.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before)).where("counts").withColumn("start", F.col("end") - F.col("size"))
-    near = Window.partitionBy("key").orderBy("start").rangeBetween(-scope, scope)
+    upto = Window.partitionBy("key").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    from_ = Window.partitionBy("key").orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
     kind = F.get(_kinds(), F.col("rank"))
 
     def some(*kinds):
-        return F.max(F.col("kind").isin(*kinds)).over(near)
+        of = F.col("kind").isin(*kinds)
+        end, start = F.max(F.when(of, F.col("end"))).over(upto), F.min(F.when(of, F.col("start"))).over(from_)
+        return F.coalesce(F.col("start") - end <= scope, F.lit(False)) | F.coalesce(start - F.col("end") <= scope, F.lit(False))
 
     linked = placed.withColumn("kind", kind).withColumns({"has_id": some("access", "ident"), "has_secret": some("assign", "blob")})
     reported = (

@@ -330,3 +330,18 @@ def test_phone_formats(spark):
     out = {r.doc_id: r for r in pii.replace(texts).collect()}
     assert [out[k]["__n_entities"] for k in range(len(want))] == [len(x) for x in want]
     assert not any(p in out[k].text for k, found in enumerate(want) for p in found)
+
+
+def test_secret_gaps_are_measured_between_ends_and_starts(spark):
+    run = "aB3" * 200
+    rows = {
+        1: f"{run} user=root", 2: f"user=root {run}", 3: f"{run} {'x ' * 195}user=root", 4: f"{run} {'x ' * 205}user=root",
+        5: f"token={run} user=root", 6: f"{run} b c user=root {'x ' * 195}https://db.example.com/x", 7: f"user=root {run} {'x ' * 50}https://db.example.com/x", 8: run,
+    }
+    out = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+    kinds = {k: sorted({s.split(":")[0] for s in v.split(",") if s}) for k, v in out.items()}
+    assert kinds[1] == kinds[2] == kinds[3] == ["blob", "ident"]
+    assert kinds[4] == kinds[8] == []
+    assert kinds[5] == ["assign", "blob", "ident"]
+    assert kinds[6] == ["blob", "ident"]  # the run ends over 400 characters before the address
+    assert kinds[7] == ["blob", "ident"]  # the account name does
