@@ -128,6 +128,12 @@ _CORE = """SELECT affiliation_id FROM auths a JOIN pubs p ON a.work_id = p.work_
        WHERE llm_relevance >= 4 AND affiliation_id IS NOT NULL GROUP BY 1 ORDER BY count(DISTINCT person_id) DESC, affiliation_id LIMIT 500"""
 
 
+@over_whole("g11_core_institutions_whole", _CORE)
+def g11_core_institutions_whole(spark, sf_dir):
+    t = WholeTables(spark, sf_dir)
+    return ranking.core_institutions(t.authorships, t.publications, t.venues)
+
+
 def _ranking_sql() -> str:
     """The ranking from its components' SQL; the penalised subject score as it is before rounding."""
     parts, _, last = _select("r21_subject_scores").partition("SELECT venue_id, round(")

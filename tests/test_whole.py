@@ -9,6 +9,7 @@ from test_operators import DATA
 
 from foliant.functions import text
 from foliant.functions.places import SMALL
+from foliant.operators import ranking
 from foliant.plans import adapters, registry
 
 
@@ -65,3 +66,9 @@ def test_whole_tables(spark):
     merged = registry.QUERIES["m4_merge_scores_whole"](spark, DATA)
     assert merged.select("venue_id", "subject_id").join(pairs.toDF("venue_id", "subject_id"), ["venue_id", "subject_id"]).count() == pairs.count()
     assert registry.QUERIES["r22_summary_publications_whole"](spark, DATA).where("subjects_search is null or venue_search is null").count() == 0
+
+
+def test_core_institutions_at_their_production_limit(spark):
+    t = adapters.WholeTables(spark, DATA)
+    many = ranking.core_institutions(t.authorships, t.publications, t.venues, 10**6).count()
+    assert registry.QUERIES["g11_core_institutions_whole"](spark, DATA).count() == min(500, many) > 60
