@@ -4,21 +4,22 @@ Long lines become 128-bit hashes; (hash, document) ranges are dealt to partition
 and position, so a hash held by a third of all rows still spreads over many partitions. Each partition streams
 its rows once: a hash that lies wholly inside is decided there; a hash that touches the partition's first or
 last row, or outgrows HELD rows, is passed on with a partial count, and those few counts are added up after.
+
+Null and empty texts are one empty line. Rows of one id count as one document; rows that are equal in id and text
+lose the same lines. Ties don't arise: a line stays in the largest id that holds it, wherever it stands there.
+Documents of any length are split in the worker, whose batches are bounded by bytes. An empty table gives no
+bitmaps. Other columns of the table, whatever their names, are carried along untouched.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
 
-from .common import Scratch, bound_batches, map_arrow
+from .common import Scratch, columns_of, let, map_arrow, whole_row
 
 STRIP = " \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -29,10 +30,10 @@ NO_ID = -(1 << 63)
 DROP, PENDING, COUNT = 0, 1, 2
 
 
-def row_key(docs: DataFrame, id_col: str, text_col: str) -> list:
-    """doc (the id), tag (CRC of the text, which tells rows of one id apart) and text."""
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """doc (the id), tag (64-bit hash of the text, which tells rows of one id apart) and text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.crc32(text.cast("binary")).alias("tag"), text.alias("text")]
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text")]
 
 
 def _lines(min_chars: int):
@@ -118,54 +119,53 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc, tag, n_dropped, bitmap of each row that loses lines; rows that are not here keep them all.
 
     A line's key has white space stripped and A-Z lower-cased; keys of min_chars code points or more, found in
-    min_docs ids or more, lose their lines in all but the largest id. The bitmap is the deflated little-endian
-    bit field of kept lines, up to the last dropped one; lines beyond it are kept. Null texts have one empty
-    line; rows with equal ids count as one document.
+    min_docs ids or more, lose their lines in all but the largest id. The bitmap of kept lines is compressed to
+    its runs: start and length of each run of dropped lines, in order; all other lines are kept.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
-    lines = scratch.write(map_arrow(docs.select(row_key(docs, id_col, text_col)), _lines(min_chars), "h1 long, h2 long, doc long, tag long, pos int"), "lines")
+    lines = scratch.write(map_arrow(docs.select(row_key(id_col, text_col)), _lines(min_chars), "h1 long, h2 long, doc long, tag long, pos int"), "lines")
     dealt = lines.repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "tag", "pos")
     found = scratch.write(map_arrow(dealt, _decide(min_docs), "kind int, h1 long, h2 long, doc long, tag long, pos int, n long"), "found")
     scratch.drop("lines")
-    # Two hashes a partition and one for each HELD rows at most, so this is small whatever the skew.
+    # Two hashes a partition and one for each HELD rows at most. They are written down, so that Spark knows their size before it plans
+    # the join: where that allows a broadcast, the undecided lines of a hot hash stay where they are.
     counts = found.where(F.col("kind") == COUNT).groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.max("doc").alias("top"))
-    late = found.where(F.col("kind") == PENDING).join(F.broadcast(counts.where(F.col("docs") >= min_docs)), ["h1", "h2"]).where("doc != top")
+    counts = scratch.write(counts.where(F.col("docs") >= min_docs), "counts")
+    late = found.where(F.col("kind") == PENDING).join(counts, ["h1", "h2"]).where("doc != top")
     drops = found.where(F.col("kind") == DROP).select("doc", "tag", "pos").unionByName(late.select("doc", "tag", "pos"))
-    return drops.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("pos")).alias("gone")).select("doc", "tag", F.size("gone").cast("long").alias("n_dropped"), _bitmap("gone").alias("bitmap"))
+    return drops.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("pos")).alias("gone")).select("doc", "tag", F.size("gone").cast("long").alias("n_dropped"), runs(F.col("gone")).alias("bitmap"))
+
 
+def runs(at: Column) -> Column:
+    """Sorted positions as runs: array<struct<start, length>>."""
+    starts = F.filter(at, lambda x, i: F.coalesce(F.when(i > 0, F.get(at, i - 1)) < x - 1, F.lit(True)))
+    ends = F.filter(at, lambda x, i: F.coalesce(F.get(at, i + 1) > x + 1, F.lit(True)))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a + 1).alias("length")))
 
-@F.pandas_udf(BinaryType())
-def _bitmap(gone: pd.Series) -> pd.Series:
-    def one(at):
-        keep = np.ones(int(at[-1]) // 8 * 8 + 8, bool)  # whole bytes; bits past the last dropped line are set
-        keep[at] = False
-        return zlib.compress(np.packbits(keep, bitorder="little").tobytes())
 
-    return gone.map(one)
+def kept_text(text: Column, bitmap: Column) -> Column:
+    """The text's lines outside the bitmap's dropped runs; no bitmap keeps all."""
 
+    def between(lines):
+        end = lambda k: F.get(bitmap, k)["start"] + F.get(bitmap, k)["length"]
 
-@F.pandas_udf(StringType())
-def kept_lines(text: pd.Series, bitmap: pd.Series) -> pd.Series:
-    """The text's lines whose bit is set or beyond the bitmap; no bitmap keeps all."""
+        def one(k):
+            first = F.when(k > 0, end(k - 1)).otherwise(0)
+            return F.slice(lines, first + 1, F.greatest(F.coalesce(F.get(bitmap, k)["start"], F.size(lines)) - first, F.lit(0)))
 
-    def one(t, bits):
-        if bits is None:
-            return t
-        keep = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8), bitorder="little").tolist()
-        lines = t.split("\n")
-        return "\n".join([x for x, k in zip(lines, keep) if k] + lines[len(keep) :])
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(bitmap)), one)), "\n")
 
-    return pd.Series([one(t, bits) for t, bits in zip(text, bitmap)], dtype=object)
+    return F.when(bitmap.isNull(), text).otherwise(let(F.split(text, "\n", -1), between))
 
 
 def apply(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the kept lines as text_col, and __n_lines, __n_dropped besides; null texts become empty."""
-    bound_batches(docs.sparkSession)
-    doc, tag, text = row_key(docs, id_col, text_col)
-    keyed = docs.withColumns({"__doc": doc, "__tag": tag, text_col: text})
-    right = bitmaps.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("n_dropped").alias("__n_dropped"), F.col("bitmap").alias("__bitmap"))
-    joined = keyed.join(right.hint("shuffle_hash"), ["__doc", "__tag"], "left")
-    n_lines = F.size(F.split(F.col(text_col), "\n", -1)).cast("long")
-    out = joined.withColumn("__n_lines", n_lines).withColumn("__n_dropped", F.coalesce("__n_dropped", F.lit(0).cast("long")))
-    return out.withColumn(text_col, kept_lines(F.col(text_col), F.col("__bitmap"))).drop("__doc", "__tag", "__bitmap")
+    """docs with the kept lines as text_col, and __n_lines, __n_dropped besides (columns of these names are replaced).
+
+    Null texts become empty. Only the runs are joined to the rows, and lines are taken out in the JVM.
+    """
+    keyed = docs.select(whole_row(docs), *row_key(id_col, text_col))
+    joined = keyed.join(bitmaps.hint("shuffle_hash"), ["doc", "tag"], "left")
+    text, n_lines = F.col("text"), F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    dropped = F.coalesce("n_dropped", F.lit(0).cast("long"))
+    return joined.select(*columns_of(docs, **{text_col: kept_text(text, F.col("bitmap")), "__n_lines": n_lines.cast("long"), "__n_dropped": dropped}))
