@@ -1,10 +1,18 @@
 """Operator 2: quality rules with risk-controlled cutoffs.
 
-Each rule compares one feature of a text with a cutoff. The cutoffs are chosen by stratum (language) from the
-labelled good documents: a cutoff may be used only if an exact binomial test shows, at a level shared out over
-all strata and rules (Bonferroni), that it rejects fewer than ALPHA of them. Within a stratum and rule the
-cutoffs are tested from the most lenient on and the first failure ends the sequence, which needs no further
-correction. The strictest cutoff that passed is used; with none, the rule does not judge that stratum.
+Each rule compares one feature of a text, in ten-thousandths, with a cutoff. The cutoffs are chosen by stratum
+(language) from the labelled good documents, the holdout. Every value that a feature takes among them is a
+candidate. In each stratum ALPHA, the share of good documents that all rules together may reject, is divided
+evenly among the rules; a candidate may be used only if an exact binomial test rejects, at a level divided among all strata
+and rules (Bonferroni), that it rejects more than its share. Within a stratum and rule candidates are
+tested from the most lenient on and the first failure ends the sequence, which needs no further correction; the
+strictest that passed is used. With none, the rule does not judge that stratum. So with probability 1 - DELTA
+no stratum loses more than ALPHA of its good documents to the rules.
+
+Null and empty texts have no words and fail the base rules. A null stratum is a stratum of its own. Rows of
+one id are judged each for itself and each counts as a holdout row; an id labelled more than once counts as its worst label, a null
+id in the labels as none. Without labels, or with an empty table, only the base rules judge. Texts of any length are judged
+whole. Other columns, whatever their names, are carried along by keep().
 
 Everything is DataFrame and SQL functions.
 """
@@ -15,24 +23,17 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import SPACE, Scratch
+from .common import SPACE, Scratch, columns_of, let, whole_row
 
-ALPHA, DELTA = 0.02, 0.05
+#: Share of a stratum's good documents that the rules may reject in all, and the probability that any stratum loses more.
+ALPHA, DELTA = 0.05, 0.05
 MIN_WORDS, MAX_REPEAT = 50, 50
 SYMBOLS = "#*$%&|<>"
-#: Rules: feature and cutoffs, the most lenient first. A text fails a rule if its feature exceeds the cutoff.
-RULES = {
-    "symbol_share": (0.5, 0.3, 0.2, 0.1, 0.05),
-    "upper_share": (0.9, 0.7, 0.5, 0.3),
-    "line_share": (0.9, 0.7, 0.5),
-    "repeat_share": (0.45, 0.4, 0.35, 0.3),
-}
-
-
-def _let(value: Column, body) -> Column:
-    """body(value) with value computed once, as the bound variable of a one-element array."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+#: Features in ten-thousandths; a text fails a rule if its feature exceeds the cutoff.
+RULES = ("symbol_share", "upper_share", "line_share", "repeat_share")
+SCALE = 10_000
 
 
 def _repeated(words: Column) -> Column:
@@ -54,10 +55,10 @@ def _repeated(words: Column) -> Column:
 
     def count(h):
         placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        some = _let(placed, lambda s: cover(F.sort_array(F.transform(twins(s), lambda x: x["i"]))))
+        some = let(placed, lambda s: cover(F.sort_array(F.transform(twins(s), lambda x: x["i"]))))
         return F.when(F.size(F.array_distinct(h)) < F.size(h), some).otherwise(F.lit(0))
 
-    return _let(hashes, count)
+    return let(hashes, count)
 
 
 def features(text: Column) -> Column:
@@ -75,7 +76,7 @@ def features(text: Column) -> Column:
 
     def whole(p):
         n, chars, symbols = p["w"]["n"], p["chars"], p["symbols"]
-        share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+        share = lambda a, b: F.when(b > 0, F.floor(SCALE * a / b)).otherwise(F.lit(0).cast("long"))
         return F.struct(
             n.alias("n_words"), chars.alias("word_chars"), symbols.alias("n_symbols"), p["l"]["dup"].alias("n_dup_lines"), p["w"]["rep"].alias("n_repeat_words"),
             ((n < MIN_WORDS) | (100 * p["w"]["rep"] > MAX_REPEAT * n)).alias("base_failed"),
@@ -84,11 +85,11 @@ def features(text: Column) -> Column:
         )
 
     parts = F.struct(
-        _let(words, by_words).alias("w"), _let(lines, by_lines).alias("l"), length(bare).alias("chars"),
+        let(words, by_words).alias("w"), let(lines, by_lines).alias("l"), length(bare).alias("chars"),
         (length(text) - length(F.translate(text, SYMBOLS, ""))).alias("symbols"),
         length(F.regexp_replace(text, r"\P{Lu}+", "")).alias("upper"), length(F.regexp_replace(text, r"\P{L}+", "")).alias("letters"),
     )
-    return _let(parts, whole)
+    return let(parts, whole)
 
 
 def _log_factorial(n: Column) -> Column:
@@ -119,68 +120,82 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 def least_labels(alpha: float = ALPHA, delta: float = DELTA) -> int:
     """Good labels without which no cutoff can pass, whatever the number of strata."""
-    return math.ceil(math.log(delta / len(RULES)) / math.log1p(-alpha))
+    return math.ceil(math.log(delta / len(RULES)) / math.log1p(-alpha / len(RULES)))
+
+
+def candidates(judged: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """stratum, rule, value, n, over, bound, passes for every value of every rule among the holdout rows.
+
+    over counts the holdout rows beyond the value, bound is the level at which the binomial test finds them few
+    enough. A rule has SCALE + 1 values at most, so the windows hold no more rows than that, whatever the input.
+    """
+    pairs = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES])
+    counts = judged.select("stratum", F.inline(pairs)).groupBy("stratum", "rule", "value").agg(F.count(F.lit(1)).alias("c"))
+    each = Window.partitionBy("stratum", "rule")
+    beyond = each.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = counts.select("stratum", "rule", "value", F.sum("c").over(each).alias("n"), F.coalesce(F.sum("c").over(beyond), F.lit(0).cast("long")).alias("over"))
+    rows = rows.where(F.col("n") >= least_labels(alpha, delta))
+    strata = judged.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_labels(alpha, delta)).agg(F.count(F.lit(1)).alias("strata"))
+    share = alpha / len(RULES)
+    # Beyond the mean of the binomial the bound is over a third, which no level allows.
+    bound = F.when(F.col("over") <= F.col("n") * share, binomial_tail(F.col("over"), F.col("n"), share)).otherwise(1.0)
+    return rows.withColumn("bound", bound).withColumn("level", F.lit(delta) / (len(RULES) * strata.scalar())).withColumn("passes", F.col("bound") <= F.col("level"))
+
+
+def report(judged: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """stratum, rule, cutoff and, of it, n holdout rows, rejected ones among them, bound and level."""
+    best = F.min_by(F.struct("value", "n", "over", "bound", "level"), "value").alias("b")
+    rows = candidates(judged, alpha, delta).where("passes").groupBy("stratum", "rule").agg(best)
+    return rows.select("stratum", "rule", F.col("b.value").alias("cutoff"), F.col("b.n").alias("n"), F.col("b.over").alias("rejected"), F.col("b.bound").alias("bound"), F.col("b.level").alias("level"))
 
 
 def cutoffs(judged: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """stratum and a cutoff for each rule, from rows of labelled good documents with their features.
+    """stratum and a cutoff for each rule (null: none passed), from rows of labelled good documents with their features.
 
     A row needs least_labels() documents, so there are at most that part of the labels as rows.
     """
-    counts = [F.sum((F.col(rule) > c).cast("long")).alias(f"{rule}_{i}") for rule, grid in RULES.items() for i, c in enumerate(grid)]
-    by = judged.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts).where(F.col("n") >= least_labels(alpha, delta))
-    level = F.lit(delta) / (len(RULES) * F.col("strata"))
-    total = by.agg(F.count(F.lit(1)).alias("strata"))
-    chosen = []
-    for rule, grid in RULES.items():
-        best = F.lit(None).cast("double")
-        passes = [binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), alpha) <= level for i in range(len(grid))]
-        for i in reversed(range(len(grid))):
-            best = F.when(passes[i], F.coalesce(best, F.lit(grid[i]))) if i + 1 < len(grid) else F.when(passes[i], F.lit(grid[i]))
-        chosen.append(best.alias(f"cut_{rule}"))
-    return by.withColumn("strata", total.scalar()).select("stratum", *chosen)
+    cut = [F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES]
+    return report(judged, alpha, delta).groupBy("stratum").agg(*cut)
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
+    """doc_id, stratum and the features of every row, beside the whole row."""
     f = features(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), f.alias("f")).select("doc_id", "stratum", "f.*")
+    rows = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), f.alias("f"))
+    return rows.select("row", "doc_id", "stratum", "f.*")
 
 
-def calibrate(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cutoffs from measured rows and labels (doc_id, quality); an id labelled twice counts as its worst."""
+def holdout(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The measured rows that the base rules pass and that are labelled good."""
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
-    return cutoffs(rows.where(~F.col("base_failed")).join(good.select("doc_id"), "doc_id"))
+    return rows.where(~F.col("base_failed")).join(good.select("doc_id"), "doc_id").select("stratum", *RULES)
 
 
 def verdict(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """rows with kept: not failed by the base rules, nor by a rule that has a cutoff in the row's stratum."""
-    over = [F.coalesce(F.col(r) > F.col(f"cut_{r}"), F.lit(False)) for r in RULES]
+    """rows with kept: not failed by the base rules, nor by a rule that has a cutoff in the row's stratum.
+
+    cuts is a written table, so Spark broadcasts it only where its size allows; strata are few.
+    """
     failed = F.col("base_failed")
-    for x in over:
-        failed = failed | x
-    return rows.join(F.broadcast(cuts), "stratum", "left").withColumn("kept", ~failed)
+    for r in RULES:
+        failed = failed | F.coalesce(F.col(r) > F.col(f"cut_{r}"), F.lit(False))
+    return rows.join(cuts, "stratum", "left").withColumn("kept", ~failed)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """doc_id, the base counts, base_failed, kept, and the features; a row for each row of docs.
-
-    Null and empty texts have no words and fail. A null stratum is a stratum of its own. Without labels only
-    the base rules judge.
-    """
+    """doc_id, the base counts, base_failed, kept; a row for each row of docs."""
     scratch = Scratch(docs.sparkSession, "quality")
-    rows = scratch.write(measured(docs, id_col, text_col, stratum_col), "rows")
-    cuts = scratch.write(calibrate(rows, labels), "cuts")
+    rows = scratch.write(measured(docs, id_col, text_col, stratum_col).drop("row"), "rows")
+    cuts = scratch.write(cutoffs(holdout(rows, labels)), "cuts")
     return verdict(rows, cuts).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """The rows of docs that judge() keeps, with their own columns; the features are computed anew, which costs no shuffle of texts."""
+    """The rows of docs that judge() keeps, with their own columns.
+
+    Rows are written with their features once, which is cheaper than features computed twice or texts shuffled.
+    """
     scratch = Scratch(docs.sparkSession, "quality")
     rows = scratch.write(measured(docs, id_col, text_col, stratum_col), "rows")
-    cuts = scratch.write(calibrate(rows, labels), "cuts")
-    scratch.drop("rows")
-    f = features(F.coalesce(F.col(text_col), F.lit("")))
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), f.alias("f"))
-    # Not a bare `kept`: a part of it would be pushed below the features and compute them twice.
-    stays = F.array_contains(F.array("kept"), True)
-    return verdict(inner.select("__row", "stratum", "f.*"), cuts).where(stays).select("__row.*")
+    cuts = scratch.write(cutoffs(holdout(rows, labels)), "cuts")
+    return verdict(rows, cuts).where("kept").select(*columns_of(docs))

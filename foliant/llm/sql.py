@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality import ALPHA, DELTA, MAX_REPEAT, MIN_WORDS, RULES, least_labels
+from .quality import ALPHA, DELTA, MAX_REPEAT, MIN_WORDS, RULES, SCALE, least_labels
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -20,21 +20,13 @@ FROM j GROUP BY doc_id
 
 
 def quality_rules() -> str:
-    level = f"({DELTA} / ({len(RULES)} * n_strata))"
-    tests = [(r, i, c) for r, grid in RULES.items() for i, c in enumerate(grid)]
-    counts = ", ".join(f"count(*) FILTER (WHERE {r} > {c}) AS {r}_{i}" for r, i, c in tests)
+    share, level = ALPHA / len(RULES), f"({DELTA} / ({len(RULES)} * n_strata))"
+    values = " UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, {r} AS value FROM g" for r in RULES)
     tail = (
-        "(SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({a}) + (n - i) * ln(1 - {a}))) "
-        "FROM (SELECT unnest(range(0, {k} + 1)) AS i))"
-    ).replace("{a}", str(ALPHA))
-    passes = ", ".join(f"{tail.replace('{k}', f'{r}_{i}')} <= {level} AS p_{r}_{i}" for r, i, _ in tests)
-
-    def cut(rule):
-        grid, out = RULES[rule], "NULL"
-        for i in reversed(range(len(grid))):
-            out = f"CASE WHEN p_{rule}_{i} THEN coalesce({out}, {grid[i]}) END"
-        return f"{out} AS cut_{rule}"
-
+        f"(SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share}))) "
+        "FROM (SELECT unnest(range(0, over + 1)) AS i))"
+    )
+    cuts = ", ".join(f"min(value) FILTER (WHERE rule = '{r}' AND p <= {level}) AS cut_{r}" for r in RULES)
     failed = " OR ".join(["base_failed", *[f"coalesce({r} > cut_{r}, false)" for r in RULES]])
     return f"""
     WITH d AS (
@@ -56,15 +48,18 @@ def quality_rules() -> str:
       FROM d LEFT JOIN cov USING (doc_id)),
     r AS (
       SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT} * n_words AS base_failed,
-             coalesce(n_symbols / nullif(word_chars, 0), 0) AS symbol_share, coalesce(upper / nullif(letters, 0), 0) AS upper_share,
-             coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS line_share, coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_share
+             coalesce({SCALE} * n_symbols // nullif(word_chars, 0), 0) AS symbol_share, coalesce({SCALE} * upper // nullif(letters, 0), 0) AS upper_share,
+             coalesce({SCALE} * n_dup_lines // nullif(n_lines, 0), 0) AS line_share, coalesce({SCALE} * n_repeat_words // nullif(n_words, 0), 0) AS repeat_share
       FROM f),
     good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
-    s AS (SELECT stratum, count(*) AS n, {counts} FROM r JOIN good USING (doc_id) WHERE NOT base_failed
-          GROUP BY stratum HAVING count(*) >= {least_labels()}),
+    g AS (SELECT r.* FROM r JOIN good USING (doc_id) WHERE NOT base_failed),
+    s AS (SELECT stratum, count(*) AS n FROM g GROUP BY stratum HAVING count(*) >= {least_labels()}),
     t AS (SELECT *, count(*) OVER () AS n_strata FROM s),
-    p AS (SELECT stratum, {passes} FROM t),
-    c AS (SELECT stratum, {", ".join(map(cut, RULES))} FROM p)
+    v AS (SELECT stratum, rule, value, count(*) AS c FROM ({values}) GROUP BY ALL),
+    o AS (SELECT stratum, rule, value, n, n_strata, CAST(coalesce(sum(c) OVER (PARTITION BY stratum, rule ORDER BY value DESC
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS over FROM v JOIN t USING (stratum)),
+    p AS (SELECT *, {tail} AS p FROM o WHERE over <= n * {share}),
+    c AS (SELECT stratum, {cuts} FROM p GROUP BY stratum)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT ({failed}) AS kept
     FROM r LEFT JOIN c USING (stratum)
     """
