@@ -28,7 +28,7 @@ def op2_quality_rules(spark, sf_dir):
 
 @query
 def op3_pii_surrogates(spark, sf_dir):
-    found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
     return found.select("doc_id", F.col("__n_entities").alias("n_entities"), "text")
 
 
