@@ -3,13 +3,20 @@
 Training: word counts of all training texts (a shuffle of per-task partial counts) give the unigram base and
 the model's symbols: the HEAD commonest words are symbols of their own, all others fall into CLASSES classes by
 their ending and have a unigram within their class. Baum-Welch then trains STATES latent states: each task runs
-forward and backward over its texts, cut into segments for training, and returns expected counts by symbol,
-which are summed across partitions; the driver holds only the model, states by symbols.
+forward and backward over its whole texts and returns expected counts by symbol, which are summed across
+partitions; the driver holds only the model, states by symbols. It ends after ROUNDS rounds, or earlier when a
+round gains less than SETTLED log10 a token.
 
-Scoring: the scaled forward recursion gives the exact likelihood of each whole text. Long texts are cut into
-blocks whose transfer matrices are run side by side and then multiplied in order, which is exact as well.
+Scoring: the scaled forward recursion gives the exact likelihood of each whole text.
+
+Long texts are cut into blocks that are worked on side by side. A first pass gives each block's transfer matrix;
+their products are the exact forward and backward messages at the borders, for training and for scoring.
 
 Counts of words beyond the KNOWN commonest come by a join; only they are shuffled, so no key is hot.
+
+Null and empty texts are the end alone. Repeated rows train and are scored as often as they occur; rows are told
+apart by a number written down with them. A null id trains. Ties among equally common words at the edge of HEAD go to the lesser word. With nothing to train on, or an
+empty table, scores are those of the priors. Other columns go no further.
 """
 
 from __future__ import annotations
@@ -26,14 +33,14 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, id_and_text, map_arrow
 
-#: Symbols of single words, symbols of classes, latent states, rounds of Baum-Welch.
-HEAD, CLASSES, STATES, ROUNDS = 8192, 256, 8, 4
+#: Symbols of single words, symbols of classes, latent states, rounds of Baum-Welch at most, gain a token below which it ends.
+HEAD, CLASSES, STATES, ROUNDS, SETTLED = 8192, 256, 8, 6, 5e-4
 #: Words whose counts are sent to every task: at most so many, of at most WORD_BYTES bytes each.
 KNOWN, WORD_BYTES = 50_000, 64
 #: Words seen more rarely stay in their class, so that classes know how rare words behave.
 LEAST = 3
-#: Tokens of a training segment and of a scoring block; tokens worked on at once.
-SEGMENT, BLOCK, AT_ONCE = 256, 256, 200_000
+#: Tokens of a block of a long text; cells of a grid of tokens worked on at once.
+BLOCK, AT_ONCE = 256, 200_000
 #: Weight of the unigram in each state's emissions, in tokens; smoothing of transitions.
 PRIOR, STICK = 50.0, 0.9
 END = b""
@@ -73,30 +80,28 @@ def _count(batches):
 
 @dataclass
 class Model:
-    """known: count, symbol and class term of the commonest words; the HMM's parameters; the corpus totals."""
+    """Counts of the commonest words, the first HEAD of them symbols; corpus totals; the HMM's parameters; log10 likelihood a token before each round."""
 
-    known: dict[bytes, tuple[int, int]]
+    known: dict[bytes, int]
     tokens: int
     types: int
     class_z: np.ndarray
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray  # symbols x states
+    gains: list[float]
 
     @property
-    def base_z(self) -> float:
-        return self.tokens + 0.5 * (self.types + 1)
-
+    def log_z(self) -> float:
+        return math.log10(self.tokens + 0.5 * (self.types + 1))
 
-class _Symbols(dict):
-    """word -> symbol; words that aren't here fall into their class."""
-
-    def __missing__(self, word):
-        return HEAD + word_class(word)
+    @property
+    def symbols(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(list(self.known)[:HEAD])}
 
 
 def _padded(seqs: list[np.ndarray]):
-    """Sequences by falling length as columns of a matrix, and how many are still running at each step."""
+    """Sequences by falling length as columns of a grid, how many are still running at each step, and their order."""
     lens = np.array([len(x) for x in seqs])
     order = np.argsort(-lens, kind="stable")
     lens = lens[order]
@@ -106,41 +111,116 @@ def _padded(seqs: list[np.ndarray]):
     return grid, np.searchsorted(-lens, -np.arange(lens[0]), side="left"), order
 
 
+def _portions(seqs: list[np.ndarray]):
+    """Positions of sequences, longest first, in portions whose grid has at most AT_ONCE cells, or one sequence."""
+    part: list[int] = []
+    for k in sorted(range(len(seqs)), key=lambda k: -len(seqs[k])):
+        if part and len(seqs[part[0]]) * (len(part) + 1) > AT_ONCE:
+            yield part
+            part = []
+        part.append(k)
+    if part:
+        yield part
+
+
+def _cut(seqs: list[np.ndarray]) -> tuple[list[np.ndarray], list[tuple[int, int]]]:
+    """Blocks of the sequences, and (sequence, place) of each: short ones whole, long ones in pieces of BLOCK tokens."""
+    at = [(k, i) for k, x in enumerate(seqs) for i in range(0, len(x), BLOCK if len(x) > 4 * BLOCK else len(x))]
+    return [seqs[k][i : i + BLOCK] if len(seqs[k]) > 4 * BLOCK else seqs[k] for k, i in at], at
+
+
+def _transfer(blocks: list[np.ndarray], first: list[bool], start, move, emit):
+    """Of each block: the matrix from the state before its first token to that of its last (all rows the start's in a first block), scaled, and log10 of the scale."""
+    states = len(start)
+    matrices, logs = np.zeros((len(blocks), states, states), emit.dtype), np.zeros(len(blocks))
+    for part in _portions(blocks):
+        grid, running, order = _padded([blocks[k] for k in part])
+        at = [part[j] for j in order]
+        m, opens = np.broadcast_to(np.eye(states, dtype=emit.dtype), (len(at), states, states)).copy(), np.array([first[k] for k in at])
+        log = np.zeros(len(at))
+        for t in range(len(grid)):
+            n = running[t]
+            x = (m[:n].reshape(-1, states) @ move).reshape(n, states, states)
+            if t == 0 and opens.any():
+                x[opens[:n]] = start
+            x *= emit[grid[t, :n], None, :]
+            s = x.sum((1, 2))
+            log[:n] += np.log10(s)
+            m[:n] = x / s[:, None, None]
+        matrices[at], logs[at] = m, log
+    return matrices, logs
+
+
+def _messages(at: list[tuple[int, int]], blocks: list[np.ndarray], start, move, emit):
+    """Exact messages of blocks of long sequences: weights of the state before each block's first emission, and after its last token."""
+    states = len(start)
+    first, last = np.empty((len(at), states), emit.dtype), np.ones((len(at), states), emit.dtype)
+    first[:] = start
+    long = [j for j, (k, i) in enumerate(at) if i > 0 or j + 1 < len(at) and at[j + 1][0] == k]
+    if long:
+        m, _ = _transfer([blocks[j] for j in long], [at[j][1] == 0 for j in long], start, move, emit)
+        v = None
+        for x, j in zip(m, long):
+            if at[j][1]:
+                first[j] = v @ move
+            v = x[0] if at[j][1] == 0 else v @ x
+            v = v / v.sum()
+        for q in range(len(long) - 1, 0, -1):
+            if at[long[q]][1]:
+                u = m[q] @ last[long[q]]
+                last[long[q - 1]] = u / u.sum()
+    return first, last
+
+
 def expected_counts(seqs: list[np.ndarray], start, move, emit):
-    """Baum-Welch: expected starts, moves and emissions of sequences, all run side by side."""
-    grid, running, _ = _padded(seqs)
-    steps, width = grid.shape
+    """Baum-Welch: expected starts, moves and emissions of whole sequences, and their log10 likelihood."""
     states = len(start)
-    alpha, scale = np.zeros((steps, width, states), np.float32), np.ones((steps, width), np.float32)
-    a = start * emit[grid[0]]
-    for t in range(steps):
-        n = running[t]
-        if t:
-            a = (alpha[t - 1, :n] @ move) * emit[grid[t, :n]]
-        s = a.sum(1)
-        scale[t, :n] = s
-        alpha[t, :n] = a / s[:, None]
-    beta, moves = np.ones((width, states), np.float32), np.zeros((states, states))
+    starts, moves, emissions, total = np.zeros(states), np.zeros((states, states)), np.zeros((len(emit), states)), 0.0
+    blocks, at = _cut(seqs)
+    first, last = _messages(at, blocks, start, move, emit)
+    end, entry = np.zeros((len(at), states), emit.dtype), np.zeros((len(at), states), emit.dtype)
     back = np.ascontiguousarray(move.T)
-    for t in range(steps - 2, -1, -1):
-        n = running[t + 1]
-        e = emit[grid[t + 1, :n]] * beta[:n] / scale[t + 1, :n, None]
-        moves += alpha[t, :n].T @ e
-        beta[:n] = e @ back
-        alpha[t, :n] *= beta[:n]
-    mask = np.arange(width)[None, :] < running[:, None]
-    seen, gamma = grid[mask], alpha[mask]
-    emissions = np.stack([np.bincount(seen, gamma[:, s], len(emit)) for s in range(states)], 1)
-    return alpha[0].sum(0).astype(float), moves * move, emissions
+    for part in _portions(blocks):
+        grid, running, order = _padded([blocks[k] for k in part])
+        own = [part[j] for j in order]
+        steps, width = grid.shape
+        alpha, scale = np.zeros((steps, width, states), emit.dtype), np.ones((steps, width), emit.dtype)
+        a = first[own] * emit[grid[0]]
+        for t in range(steps):
+            n = running[t]
+            if t:
+                a = (alpha[t - 1, :n] @ move) * emit[grid[t, :n]]
+            s = a.sum(1)
+            scale[t, :n] = s
+            alpha[t, :n] = a / s[:, None]
+        total += float(np.log10(scale, dtype=float).sum())
+        end[own] = alpha[[len(blocks[k]) - 1 for k in own], np.arange(width)]
+        beta = last[own] / (end[own] * last[own]).sum(1, keepdims=True)
+        for t in range(steps - 1, -1, -1):
+            n = running[t + 1] if t + 1 < steps else 0
+            if n:
+                e = emit[grid[t + 1, :n]] * beta[:n] / scale[t + 1, :n, None]
+                moves += alpha[t, :n].T @ e
+                beta[:n] = e @ back
+            alpha[t, : running[t]] *= beta[: running[t]]
+        mask = np.arange(width)[None, :] < running[:, None]
+        seen, gamma = grid[mask], alpha[mask]
+        emissions += np.stack([np.bincount(seen, gamma[:, s], len(emit)) for s in range(states)], 1)
+        entry[own] = emit[grid[0]] * beta / scale[0][:, None]
+        starts += alpha[0][[at[k][1] == 0 for k in own]].sum(0)
+    inner = [j for j, (_, i) in enumerate(at) if i]
+    if inner:  # moves over the borders of blocks
+        moves += end[[j - 1 for j in inner]].T.astype(float) @ entry[inner]
+    return starts, moves * move, emissions, total
 
 
 def log_forward(seqs: list[np.ndarray], start, move, emit) -> np.ndarray:
     """log10 likelihood of each sequence (none of them empty) by the scaled forward recursion."""
-    states = len(start)
     out = np.zeros(len(seqs))
-    short = [k for k, x in enumerate(seqs) if len(x) <= 4 * BLOCK]
-    for part in _portions([seqs[k] for k in short]):
-        grid, running, order = _padded([seqs[short[k]] for k in part])
+    blocks, at = _cut(seqs)
+    short = [j for j, (k, i) in enumerate(at) if len(blocks[j]) == len(seqs[k])]
+    for part in _portions([blocks[j] for j in short]):
+        grid, running, order = _padded([blocks[short[k]] for k in part])
         logs = np.zeros(grid.shape[1])
         a = start * emit[grid[0]]
         for t in range(len(grid)):
@@ -150,73 +230,60 @@ def log_forward(seqs: list[np.ndarray], start, move, emit) -> np.ndarray:
             s = a.sum(1)
             logs[:n] += np.log10(s)
             a = a / s[:, None]
-        out[[short[part[j]] for j in order]] = logs
-    # Each block as a matrix from the state before its first token to the state of its last.
-    long = [(k, i) for k, x in enumerate(seqs) if len(x) > 4 * BLOCK for i in range(0, len(x), BLOCK)]
-    state = {}
-    for part in _portions([seqs[k][i : i + BLOCK] for k, i in long]):
-        blocks = [seqs[long[j][0]][long[j][1] : long[j][1] + BLOCK] for j in part]
-        grid, running, order = _padded(blocks)
-        m = np.broadcast_to(np.eye(states), (grid.shape[1], states, states)).copy()
-        logs, first = np.zeros(grid.shape[1]), np.array([long[part[j]][1] == 0 for j in order])
-        for t in range(len(grid)):
-            n = running[t]
-            x = (m[:n].reshape(-1, states) @ move).reshape(n, states, states)
-            if t == 0 and first.any():
-                x[first[:n]] = start
-            x *= emit[grid[t, :n], None, :]
-            s = x.sum((1, 2))
-            logs[:n] += np.log10(s)
-            m[:n] = x / s[:, None, None]
-        for c, j in enumerate(order):
-            state[long[part[j]]] = (m[c].copy(), logs[c])
-    for k, i in long:
-        m, log = state.pop((k, i))
-        v = m[0] if i == 0 else v @ m
-        s = v.sum()
-        out[k] += log + math.log10(s)
-        v = v / s
+        out[[at[short[part[j]]][0] for j in order]] = logs
+    long = sorted(set(range(len(at))) - set(short))
+    if long:
+        m, logs = _transfer([blocks[j] for j in long], [at[j][1] == 0 for j in long], start, move, emit)
+        v = None
+        for x, log, j in zip(m, logs, long):
+            k, i = at[j]
+            v = x[0] * len(start) if i == 0 else v @ x
+            s = v.sum()
+            out[k] += log + math.log10(s) - (math.log10(len(start)) if i == 0 else 0.0)
+            v = v / s
     return out
 
 
-def _portions(seqs: list[np.ndarray]):
-    """Positions of sequences in portions of at most AT_ONCE tokens, or one sequence."""
-    part, size = [], 0
-    for k in sorted(range(len(seqs)), key=lambda k: -len(seqs[k])):
-        if part and size + len(seqs[k]) > AT_ONCE:
-            yield part
-            part, size = [], 0
-        part.append(k)
-        size += len(seqs[k])
-    if part:
-        yield part
+class _Index(dict):
+    """word -> its place among the known words, or -1."""
+
+    def __missing__(self, word):
+        return -1
 
 
-def _encode(symbols: dict, known: dict, tokens: int, types: int, class_z: np.ndarray):
-    """doc_id, held_out, n_tokens, ids, what common words add to both scores, and the rest to be looked up."""
+def _encode(known: dict, log_z: float, class_z: np.ndarray):
+    """key, doc_id, held_out, n_tokens, symbols, what common words add to both scores, and the rest to be looked up."""
     schema = pa.schema(
         [("key", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("inner", pa.float64()), ("ids", pa.binary()), ("rest", pa.list_(pa.binary()))]
     )
-    log_z, log_class = math.log10(tokens + 0.5 * (types + 1)), np.log10(class_z).tolist()
+    log_class = np.log10(class_z)
 
     def run(batches):
         from pyspark import TaskContext
 
-        table, logs = _Symbols(symbols), {w: math.log10(c + 0.5) for w, c in known.items()}
-        inner_of = {w: logs[w] - log_class[word_class(w)] for w in known if w not in symbols}
+        place = _Index({w: k for k, w in enumerate(known)}).__getitem__
+        counts = np.array(list(known.values()), float)
+        classes = np.array([word_class(w) for w in known])
+        symbol = np.where(np.arange(len(known)) < HEAD, np.arange(len(known)), HEAD + classes).astype(np.uint16)
+        logs = np.log10(counts + 0.5)
+        inner_of = np.where(np.arange(len(known)) < HEAD, 0.0, logs - log_class[classes])
         at = TaskContext.get().partitionId() << 33
         for b in batches:
             cols: list[list] = [[] for _ in schema]
             for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 words = words_of(text)
                 words.append(END)
-                ids = np.fromiter(map(table.__getitem__, words), np.uint16, len(words))
-                found = [logs[w] for w in words if w in logs]
-                other = [words[k] for k in np.flatnonzero(ids >= HEAD).tolist()]
-                rest = [w for w in other if w not in known]
-                inner = sum([inner_of[w] for w in other if w in known]) - sum([log_class[word_class(w)] for w in rest])
-                row = (at, i, is_held_out(i), len(words), len(found), math.fsum(found) - len(words) * log_z, inner, ids.tobytes(), rest)
-                for c, v in zip(cols, row):
+                where = np.fromiter(map(place, words), np.int64, len(words))
+                new = np.flatnonzero(where < 0)
+                rest = [words[k] for k in new.tolist()]
+                ids = symbol[where]
+                base, inner = float(logs[where].sum()), float(inner_of[where].sum())
+                if rest:  # place -1 has counted the last known word for each of them
+                    of = np.fromiter(map(word_class, rest), np.int64, len(rest))
+                    ids[new] = HEAD + of
+                    base, inner = base - len(rest) * logs[-1], inner - len(rest) * inner_of[-1] - float(log_class[of].sum())
+                n_known = len(words) - len(rest) - (counts[0] == 0)
+                for c, v in zip(cols, (at, i, is_held_out(i), len(words), int(n_known), base - len(words) * log_z, inner, ids.tobytes(), rest)):
                     c.append(v)
                 at += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -225,25 +292,22 @@ def _encode(symbols: dict, known: dict, tokens: int, types: int, class_z: np.nda
 
 
 def _expect(start, move, emit):
-    """Expected counts of a task's segments: rows of (symbol, counts by state); starts and moves as symbols below 0."""
-    schema = pa.schema([("symbol", pa.int32())] + [(f"s{k}", pa.float64()) for k in range(len(start))])
+    """Expected counts of a task's texts: rows of (symbol, counts by state); below 0 starts, moves, and log10 likelihood with tokens."""
+    states = len(start)
+    schema = pa.schema([("symbol", pa.int32())] + [(f"s{k}", pa.float64()) for k in range(states)])
 
     def run(batches):
-        states = len(start)
-        starts, moves, emissions = np.zeros(states), np.zeros((states, states)), np.zeros((len(emit), states))
+        starts, moves, emissions, likely = np.zeros(states), np.zeros((states, states)), np.zeros((len(emit), states)), np.zeros(states)
         for b in batches:
-            segments = []
-            for data in b.column("ids").to_pylist():
-                ids = np.frombuffer(data, "<u2")
-                segments += [ids[k : k + SEGMENT] for k in range(0, len(ids), SEGMENT)]
-            for part in _portions(segments):
-                x, y, z = expected_counts([segments[k] for k in part], start, move, emit)
+            if seqs := [np.frombuffer(data, "<u2") for data in b.column("ids").to_pylist()]:
+                x, y, z, total = expected_counts(seqs, start, move, emit)
                 starts += x
                 moves += y
                 emissions += z
+                likely[:2] += total, sum(map(len, seqs))
         at = np.flatnonzero(emissions.any(1))
-        symbols = np.concatenate([[-1], -2 - np.arange(states), at]).astype(np.int32)
-        values = np.concatenate([starts[None], moves, emissions[at]])
+        symbols = np.concatenate([[-1], -2 - np.arange(states), [-2 - states], at]).astype(np.int32)
+        values = np.concatenate([starts[None], moves, likely[None], emissions[at]])
         yield pa.RecordBatch.from_arrays([pa.array(symbols), *(pa.array(np.ascontiguousarray(values[:, k])) for k in range(states))], schema=schema)
 
     return run
@@ -273,65 +337,73 @@ def improved(sums: dict, states: int, unigram: np.ndarray):
     return start / start.sum(), move / move.sum(1, keepdims=True), emit
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
-    """Train on the texts that is_held_out() leaves, score all.
-
-    doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each row of docs. Scores
-    are log10 probabilities of the words and one end. Null and empty texts are the end alone. Repeated rows
-    train and are scored as often as they occur. With nothing to train on, scores are those of the priors.
-    """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "hmm")
+def train(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of the texts that is_held_out() leaves; every text in symbols; the counts of all words. Takes two states or more."""
     texts = id_and_text(docs, id_col, text_col)
     counted = map_arrow(texts, _count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
     vocab = scratch.write(counted, "vocab")
     by_class = F.pmod(F.crc32(F.expr("case when octet_length(word) > 2 then substring(word, -2, 2) else word end")), F.lit(CLASSES)).cast("int")
-    common = vocab.where((F.octet_length("word") <= WORD_BYTES) & ((F.col("c") >= LEAST) | (F.octet_length("word") == 0)))
+    common = vocab.where((F.octet_length("word") > 0) & (F.octet_length("word") <= WORD_BYTES) & (F.col("c") >= LEAST))
     # By sixteenths of a doubling: the commonest bins that hold KNOWN words at most, found without a sort.
-    common = common.withColumn("bin", F.when(F.octet_length("word") == 0, F.lit(9999)).otherwise(F.floor(16 * F.log2("c")).cast("int")))
-    left, least = KNOWN, 10_000
+    common = common.withColumn("bin", F.floor(16 * F.log2("c")).cast("int"))
+    left, least = KNOWN - 1, 10_000
     for bin_, n in sorted(common.groupBy("bin").count().collect(), reverse=True):
         if n > left:
             break
         left, least = left - n, bin_
+    ends = vocab.where(F.octet_length("word") == 0).agg(F.sum("c")).first()[0]
     top = common.where(F.col("bin") >= least).select("word", "c").collect()
-    known = {bytes(r.word): r.c for r in sorted(top, key=lambda r: (len(r.word) > 0, -r.c, r.word))}
-    symbols = {w: k for k, w in enumerate(list(known)[:HEAD])}
-    symbols.setdefault(END, len(symbols) if len(symbols) < HEAD else HEAD - 1)
+    # The end comes first, and is there even if nothing was trained on.
+    known = {END: int(ends or 0)} | {bytes(r.word): r.c for r in sorted(top, key=lambda r: (-r.c, r.word))}
     sums = {r[0]: (r[1], r[2]) for r in vocab.groupBy(by_class.alias("k")).agg(F.sum("c"), F.count(F.lit(1))).collect()}
     tokens, types = (int(sum(x[j] for x in sums.values())) for j in (0, 1))
     # Within a class: the words that aren't symbols, and one share for words never seen.
     inside, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for k, (c, n) in sums.items():
         inside[k], kinds[k] = c, n
-    for w in symbols:
-        if w in known:
-            inside[word_class(w)] -= known[w]
-            kinds[word_class(w)] -= 1
-    class_z = inside + 0.5 * (kinds + 1)
-    schema = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double, ids binary, rest array<binary>"
-    coded = scratch.write(map_arrow(texts, _encode(symbols, known, tokens, types, class_z), schema), "coded")
-
     counts = np.zeros(HEAD + CLASSES)
-    for w, k in symbols.items():
-        counts[k] = known.get(w, 0)
+    for k, w in enumerate(list(known)[:HEAD]):
+        inside[word_class(w)] -= known[w]
+        kinds[word_class(w)] -= known[w] > 0
+        counts[k] = known[w]
     counts[HEAD:] = inside
+    model = Model(known, tokens, types, inside + 0.5 * (kinds + 1), *first_guess(counts, states), [])
+    schema = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double, ids binary, rest array<binary>"
+    coded = scratch.write(map_arrow(texts, _encode(known, model.log_z, model.class_z), schema), "coded")
+
     unigram = (counts + 0.5) / (counts.sum() + 0.5 * len(counts))
-    model = first_guess(counts, states)
-    train = coded.where("not held_out").select("ids")
+    seqs = coded.where("not held_out").select("ids")
     fields = "symbol int, " + ", ".join(f"s{k} double" for k in range(states))
     for _ in range(rounds):
-        rows = map_arrow(train, _expect(*[x.astype(np.float32) for x in model]), fields).groupBy("symbol").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)])
-        # At most one row a symbol, HEAD + CLASSES + states + 1 in all.
-        model = improved({r[0]: np.array(r[1:]) for r in rows.collect()}, states, unigram)
+        guess = [x.astype(np.float32) for x in (model.start, model.move, model.emit)]
+        rows = map_arrow(seqs, _expect(*guess), fields).groupBy("symbol").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)])
+        # At most one row a symbol, HEAD + CLASSES + states + 2 in all.
+        found = {r[0]: np.array(r[1:]) for r in rows.collect()}
+        total, n = found.get(-2 - states, np.zeros(2))[:2]
+        if n == 0:
+            break
+        model.gains.append(total / n)
+        model.start, model.move, model.emit = improved(found, states, unigram)
+        if len(model.gains) > 1 and model.gains[-1] - model.gains[-2] < SETTLED:
+            break
+    return model, coded, vocab
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
+    """Train on the texts that is_held_out() leaves, score all.
 
+    doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each row of docs. Scores
+    are log10 probabilities of the words and one end.
+    """
+    model, coded, vocab = train(docs, Scratch(docs.sparkSession, "hmm"), id_col, text_col, states, rounds)
+    parameters = model.start, model.move, model.emit
     out = pa.schema([("key", pa.int64()), ("forward", pa.float64())])
 
     def forward(batches):
         for b in batches:
             seqs = [np.frombuffer(x, "<u2") for x in b.column("ids").to_pylist()]
             if seqs:
-                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(log_forward(seqs, *model))], schema=out)
+                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(log_forward(seqs, *parameters))], schema=out)
 
     run = map_arrow(coded.select("key", "ids"), forward, "key long, forward double")
     # What the forward pass and the lookup of rare words find meets the row's own numbers by its key.
@@ -347,6 +419,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     rows = parts.groupBy("key").agg(*[F.max(c).alias(c) for c in names])
     rare_sum = F.coalesce("rare", F.lit(0.0))
     return rows.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + rare_sum).alias("base_score"), (F.col("forward") + F.col("inner") + rare_sum).alias("score"),
     )
