@@ -12,7 +12,7 @@ import numpy as np
 #: Entries of a worker's cache; common runs come first and stay, later rare ones are encoded anew.
 CACHE = 300_000
 #: Unicode White_Space, the \s of the libraries' regular expressions.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def vocabulary(name: str) -> str:
@@ -152,23 +152,28 @@ class WordBpe:
         return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
 
 
-class PieceScores:
-    """Pieces of a SentencePiece file with unigram log-probabilities by a fixed law of their rank.
+def pieces_of(path: str) -> list[str]:
+    """The normal pieces of a SentencePiece file, in the file's order."""
+    import sentencepiece
 
-    The file orders pieces by merge, not by frequency fitted to a corpus; log p(rank) = -ln(rank + 1) - ln H
-    (Zipf) turns the order into a distribution without training a tokenizer.
-    """
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    return [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
 
-    def __init__(self, path: str):
-        import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        normal = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
-        weight = 1.0 / np.arange(1, len(normal) + 1)
-        logs = np.log(weight / weight.sum())
-        self.scores = {sp.id_to_piece(i): float(s) for i, s in zip(normal, logs)}
+def rank_logs(n: int) -> np.ndarray:
+    """Log-probabilities by rank (Zipf), from which fitting starts: the file orders pieces by merge."""
+    weight = 1.0 / np.arange(1, n + 1)
+    return np.log(weight / weight.sum())
+
+
+class PieceScores:
+    """Pieces with unigram log-probabilities, as a trie of reversed pieces."""
+
+    def __init__(self, pieces: list[str], logs: np.ndarray):
+        self.scores = dict(zip(pieces, logs.tolist()))
+        self.place = {p: k for k, p in enumerate(pieces)}
         #: A character outside the vocabulary costs one token a byte, each less likely than any piece.
-        self.byte = float(logs[-1]) - 10.0
+        self.byte = float(logs.min()) - 10.0
         self.back: dict = {}
         for piece, s in self.scores.items():
             node = self.back
@@ -187,6 +192,8 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-@lru_cache(maxsize=None)
-def piece_scores(path: str) -> PieceScores:
-    return PieceScores(path)
+@lru_cache(maxsize=2)
+def piece_scores(path: str, logs: bytes = b"") -> PieceScores:
+    """logs: float64 log-probabilities in the order of pieces_of(path); by rank where there are none."""
+    pieces = pieces_of(path)
+    return PieceScores(pieces, np.frombuffer(logs) if logs else rank_logs(len(pieces)))
