@@ -3,6 +3,9 @@
 Byte pairs that occur inside no vocabulary token mark certain cuts; the fragments between them are encoded
 independently and the ids concatenated (``tokens.WordBpe``). One pass over the rows, no shuffle; a worker
 keeps a bounded cache of what it has encoded.
+
+Null and empty texts have no ids. Repeated rows repeat, in any order; nothing depends on ties. An empty table gives no
+rows. Texts of any length are encoded whole. Other columns go no further.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ of two, which need no padding. Partition totals, one row a partition, are all th
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -22,6 +23,8 @@ from .tokens import byte_bpe, vocabulary
 
 VOCABULARY = "byte_bpe_50k.json"
 LENGTH, END, DIMS, BITS = 2048, 1, 4, 12
+#: Bytes of ids in a partition: at most about PART whatever the session's setting, and no less than SMALL where that asks for more partitions.
+PART, SMALL = 64 << 20, 1 << 20
 
 
 def projection(n: int, dims: int = DIMS) -> np.ndarray:
@@ -129,18 +132,16 @@ def tail_blocks(total: int, length: int) -> tuple[int, list[tuple[int, int]]]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None, partitions: int | None = None) -> DataFrame:
-    """A row for each piece: doc_id, start, length, ids (binary), ids_crc32, doc_tokens, sequence_id, offset.
-
-    Null and empty texts are END alone. Repeated rows are packed as often as they occur; rows with equal keys,
-    ids and texts may change places. An empty table gives no rows.
-    """
+    """A row for each piece: doc_id, start, length, ids (binary), ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     path = path or vocabulary(VOCABULARY)
     scratch = Scratch(spark, "packing")
     encoded = scratch.write(encode(docs, id_col, text_col, path), "encoded")
     order = [F.col("key"), F.xxhash64("doc_id"), F.col("doc_id")]
-    shuffled = encoded.repartitionByRange(partitions, *order) if partitions else encoded.repartitionByRange(*order)
-    laid = scratch.write(_numbered(shuffled.sortWithinPartitions(*order).select("doc_id", "n", "ids")), "laid")
+    if not partitions:
+        size = 2 * (encoded.agg(F.sum("n")).first()[0] or 0)
+        partitions = max(1, math.ceil(size / PART), min(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SMALL))
+    laid = scratch.write(_numbered(encoded.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("doc_id", "n", "ids")), "laid")
     scratch.drop("encoded")
     totals = dict(laid.groupBy("part").agg(F.sum("n")).collect())
     starts, total = {}, 0
