@@ -35,8 +35,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with personal data replaced."""
-    return _as_documents(pii.replace(docs.select(*COLUMNS)))
+    """Every document with personal data replaced, under the session's key."""
+    return _as_documents(pii.replace(docs.select(*COLUMNS), pii.session_key(spark)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
