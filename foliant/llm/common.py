@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -17,7 +18,7 @@ from ..ship import to_workers
 #: ASCII white space, as every contract on words and lines has it.
 SPACE = r"[\x20\x09-\x0D]"
 #: Bytes of one Arrow batch sent to a Python worker; bounds a worker's memory whatever the row length.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +36,22 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def _hand_back() -> None:
+    """Return freed memory to the system: workers live on from stage to stage, beside the JVM in one container."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, f, schema: str) -> DataFrame:
+    def run(batches):
+        yield from f(batches)
+        _hand_back()
+
     bound_batches(df.sparkSession)
-    return df.mapInArrow(f, schema)
+    return df.mapInArrow(run, schema)
 
 
 def records(schema: pa.Schema, columns: dict) -> pa.RecordBatch:

@@ -47,7 +47,7 @@ def bands_for(similar: float = SIMILAR, recall: float = RECALL, rows: int = ROWS
 class _Hashes(dict):
     def __missing__(self, word):
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 300_000:
+        if len(self) < 100_000:
             self[word] = h
         return h
 

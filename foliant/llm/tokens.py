@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries of a worker's cache; common runs come first and stay, later rare ones are encoded anew.
-CACHE = 300_000
+CACHE = 150_000
 #: Unicode White_Space, the \s of the libraries' regular expressions.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
