@@ -151,15 +151,15 @@ CLASSES = [
 ]
 
 
-def _shape(text: Column, h: Column, from_: int = 0) -> Column:
-    """Every letter and digit of text replaced by one of its class, counted among letters and digits from the start."""
+def _shape(text: Column, h: Column) -> Column:
+    """Every letter and digit of text replaced by one of its class, by its place in the text."""
 
     def one(c, i):
-        out = None
-        for pattern, alphabet in CLASSES:
-            new = _letters(alphabet, h, i + from_)
-            out = F.when(c.rlike(pattern), new) if out is None else out.when(c.rlike(pattern), new)
-        return out.otherwise(c)
+        alphabet = None
+        for pattern, letters in CLASSES:
+            alphabet = F.when(c.rlike(pattern), letters) if alphabet is None else alphabet.when(c.rlike(pattern), letters)
+        drawn = let(alphabet, lambda a: F.substring(a, _byte(h, i) % F.length(a) + 1, F.lit(1)))
+        return F.coalesce(drawn, c)
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
@@ -206,7 +206,7 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
     last = lambda x: F.substring(x, F.lit(1), F.length(x) - 1)
     exchange = {sex: F.create_map(*[F.lit(x) for pair in cycle(names, key).items() for x in pair]) for sex, names in (("f", FEMALE), ("m", MALE))}
 
-    def drawn(h):
+    def drawn(h, shaped):
         extra = F.greatest(attempt - (GROW - 1), F.lit(0))
 
         def longer(alphabet, by=0):
@@ -214,22 +214,21 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
 
         digits = longer("0123456789")
         letters = _by_script(entity, LONGER, longer)
-        first_kept = F.concat(F.left(entity, F.lit(1)), F.substring(_shape(entity, h), F.lit(2), F.length(entity)), digits)
-        card = F.when(_luhn(entity) == 0, let(last(first_kept), lambda x: F.concat(x, ((10 - _luhn(F.concat(x, F.lit("0")))) % 10).cast("string")))).otherwise(first_kept)
+        kept = lambda n: F.concat(F.left(entity, F.lit(n)), F.substring(shaped, F.lit(n + 1), F.length(entity)), digits)
+        card = F.when(_luhn(entity) == 0, let(last(kept(1)), lambda x: F.concat(x, ((10 - _luhn(F.concat(x, F.lit("0")))) % 10).cast("string")))).otherwise(kept(1))
         octet = lambda i, low, n: (_byte(h, F.lit(4 * i)) % n + low).cast("string")
         port = F.when(extra > 0, F.concat(F.lit(":"), longer("123456789", 3))).otherwise("")
         address = F.concat(F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254)), port)
         tail = F.concat(F.lit("."), F.substring_index(entity, ".", -1))
-        mail = F.concat(longer("aeiolnrst"), _shape(F.substring(entity, F.lit(1), F.length(entity) - F.length(tail)), h), tail)
-        account = F.concat(F.left(entity, F.lit(2)), _shape(F.substring(entity, F.lit(3), F.length(entity)), h), digits)
-        given = {sex: F.concat(last(_shape(entity, h)), letters, _by_script(entity, ENDS[sex], F.lit)) for sex in "fm"}
+        mail = F.concat(longer("aeiolnrst"), F.left(shaped, F.length(entity) - F.length(tail)), tail)
+        end = F.when(kind == "given_f", _by_script(entity, ENDS["f"], F.lit)).otherwise(_by_script(entity, ENDS["m"], F.lit))
         return (
-            F.when(kind == "mail", mail).when(kind == "address", address).when(kind == "account", account).when(kind == "card", card).when(kind == "phone", first_kept)
-            .when(kind == "number", F.concat(_shape(entity, h), digits)).when(kind == "given_f", given["f"]).when(kind == "given_m", given["m"]).otherwise(F.concat(_shape(entity, h), letters))
+            F.when(kind == "mail", mail).when(kind == "address", address).when(kind == "account", kept(2)).when(kind == "card", card).when(kind == "phone", kept(1))
+            .when(kind == "number", F.concat(shaped, digits)).when(kind.isin("given_f", "given_m"), F.concat(last(shaped), letters, end)).otherwise(F.concat(shaped, letters))
         )
 
-    # The hash is bound once, not once for each letter that it decides on.
-    made = let(_hash(kind, entity, attempt, key), drawn)
+    # The hash and the shape are bound once, which also keeps the plan small.
+    made = let(_hash(kind, entity, attempt, key), lambda h: let(_shape(entity, h), lambda shaped: drawn(h, shaped)))
     return F.when(kind == "listed_f", F.element_at(exchange["f"], entity)).when(kind == "listed_m", F.element_at(exchange["m"], entity)).otherwise(made)
 
 

@@ -68,11 +68,11 @@ def surrogate(kind, entity, attempt):
     letters, digits = longer(by_script(pii.LONGER)), longer("0123456789")
     if kind == "mail":
         tail = "." + entity.rsplit(".", 1)[1]
-        return longer("aeiolnrst") + shape(entity[: -len(tail)]) + tail
+        return longer("aeiolnrst") + shape(entity)[: -len(tail)] + tail
     if kind == "address":
         return f"{byte(0) % 223 + 1}.{byte(4) % 256}.{byte(8) % 256}.{byte(12) % 254 + 1}" + (":" + longer("123456789", 3) if extra else "")
     if kind == "account":
-        return entity[:2] + shape(entity[2:]) + digits
+        return entity[:2] + shape(entity)[2:] + digits
     if kind in ("phone", "card"):
         new = entity[0] + shape(entity)[1:] + digits
         return new[:-1] + str((10 - luhn(new[:-1] + "0")) % 10) if kind == "card" and luhn(entity) == 0 else new
