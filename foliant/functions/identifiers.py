@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import nothing_if_blank, unescape_common
+from .text import nothing_if_blank, stripped, unescape
 
 
 def _bare_doi(s: Column) -> Column:
@@ -17,7 +17,7 @@ def _bare_doi(s: Column) -> Column:
 
 def doi_at_load(s: Column) -> Column:
     """the bare lower-case DOI, NULL unless it looks like one."""
-    d = _bare_doi(unescape_common(s))
+    d = _bare_doi(F.when(s.contains("&"), unescape(s)).otherwise(s))
     return F.when(d.rlike(r"^10\.\S+/\S+$"), d)
 
 
@@ -72,10 +72,25 @@ def isbn_first(s: Column) -> Column:
 
 
 def last_segment(s: Column, most: int = 50) -> Column:
-    """what follows the last slash, a trailing one aside."""
+    """what follows the last slash, a trailing one aside."""
     return F.left(nothing_if_blank(F.substring_index(F.regexp_replace(s, "/+$", ""), "/", -1)), F.lit(most))
 
 
+def ror_id(s: Column) -> Column:
+    """what follows the last slash, 20 characters."""
+    return last_segment(stripped(s), 20)
+
+
+def mag_id(s: Column) -> Column:
+    """a number or text; of a number with a fraction the whole part."""
+    return last_segment(stripped(F.regexp_replace(s.cast("string"), r"^(\d+)\.\d*$", "$1")))
+
+
+def arxiv_id(s: Column) -> Column:
+    """F16: what follows the last slash of an address, else the value as it is, 30 characters."""
+    return F.left(F.when(s.contains("arxiv.org/"), F.substring_index(s, "/", -1)).otherwise(F.when(s != "", s)), F.lit(30))
+
+
 def wikidata_id(s: Column) -> Column:
     """F13."""
     return F.left(F.coalesce(F.regexp_substr(s, F.lit(r"Q\d+")), F.trim(s)), F.lit(20))
@@ -99,10 +114,46 @@ def file_stem(doi: Column) -> Column:
 
 def doi_of_file(path: Column) -> Column:
     """the DOI that a file name stands for: it starts with 10. and its first underscore is a slash."""
-    stem = F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
-    return F.when(stem.startswith("10."), F.regexp_replace(stem, "^([^_]*)_", "$1/"))
+    stem = F.regexp_replace(F.substring_index(path, "/", -1), r"\.json$", "")
+    doi = F.regexp_replace(stem, "^([^_]*)_", "$1/")
+    return F.when(stem.startswith("10.") & doi.contains("/"), doi)
 
 
 def query_value(url: Column, key: str) -> Column:
     """a value of a URL's query, NULL for a broken one."""
     return F.try_parse_url(url, F.lit("QUERY"), F.lit(key))
+
+
+def scielo_pid(resource: Column, links: Column) -> Column:
+    """the pid of the resource's address, or else of the first link that has one; only of addresses that name scielo."""
+
+    def of(url):
+        place = F.concat_ws("", F.try_parse_url(url, F.lit("HOST")), F.try_parse_url(url, F.lit("PATH")))
+        return F.when(place.contains("scielo"), F.left(nothing_if_blank(F.trim(query_value(url, "pid"))), F.lit(50)))
+
+    return F.coalesce(of(resource), F.get(F.filter(F.transform(links, of), lambda x: x.isNotNull()), F.lit(0)))
+
+
+def issn_of_links(links: Column) -> Column:
+    """the ISSN in the first of these addresses that asks for one."""
+    found = F.filter(F.transform(links, lambda u: query_value(u, "issn")), lambda x: x.isNotNull())
+    return issn(F.get(found, F.lit(0)))
+
+
+def issn_pair(s: Column) -> Column:
+    """struct of issn and eissn, the first two valid ones of a list by commas."""
+    found = F.filter(F.transform(F.split(F.replace(s, F.lit('"'), F.lit("")), ","), issn), lambda x: x.isNotNull())
+    return F.struct(F.get(found, F.lit(0)).alias("issn"), F.get(found, F.lit(1)).alias("eissn"))
+
+
+def entity_of_file(name: Column) -> Column:
+    """what a list's file name is about: the name in its brackets, marks that file systems refuse as _, or else an ISSN."""
+    inside = F.regexp_extract(name, r"(?:venue|author|OA_works_)\((.+?)\)\.txt$", 1)
+    number = F.regexp_extract(name, r"issn_([\dXx-]+)_missing\.txt$", 1)
+    return F.when(inside != "", F.regexp_replace(inside, r'[<>:"/\\|?*]', "_")).when(number != "", number)
+
+
+def venue_of_file(path: Column) -> Column:
+    """The venue id that a file is named after, NULL for another name."""
+    stem = F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
+    return F.when(stem.rlike("^[0-9]+$"), stem.try_cast("long"))

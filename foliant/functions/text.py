@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, as the bound variable of a one-element array; keeps long expressions from multiplying."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def nothing_if_blank(s: Column) -> Column:
     return F.when(F.trim(s) != "", s)
 
@@ -54,9 +59,13 @@ def name_without_stops(s: Column) -> Column:
     return collapse(F.regexp_replace(s, "[.,;]+", " "))
 
 
+#: Fixed value: the marks that separate words in a term.
+TERM_MARKS = r"[-_/,:;.'\"`()\[\]&|]+"
+
+
 def term_key(s: Column) -> Column:
-    """lower case, runs of punctuation as one space."""
-    return collapse(F.regexp_replace(F.lower(s), r"(?U)[\p{Punct}]+|[^\p{L}\p{N}\p{M}\s]+", " "))
+    """lower case, runs of the term marks as one space; other symbols stay."""
+    return F.coalesce(collapse(F.regexp_replace(F.lower(s), TERM_MARKS, " ")), F.lit(""))
 
 
 def ingest_text(s: Column) -> Column:
@@ -64,10 +73,14 @@ def ingest_text(s: Column) -> Column:
     return nothing_if_blank(collapse(F.regexp_replace(unescape(s), "<[^>]+>", " ")))
 
 
+#: Fixed value: control and invisible characters that become spaces.
+INVISIBLE = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F\u200B-\u200F\u202A-\u202E\u2060\uFEFF\uFFFD]"
+
+
 def cleaned_text(s: Column) -> Column:
     """tags first, then entities, compatibility forms, control characters and the edges."""
     s = nfkc(unescape(F.regexp_replace(s, "<[^>]+>", " ")))
-    return trimmed_edges(collapse(F.regexp_replace(s, r"[\p{Cc}\p{Cf}]", " ")))
+    return trimmed_edges(collapse(F.regexp_replace(s, INVISIBLE, " ")))
 
 
 def trimmed_edges(s: Column) -> Column:
@@ -145,37 +158,174 @@ NONE_AT_CLEANUP = ("none", "null", "n/a", "na", "[no title available]", "no titl
 NONE_IN_SQL = ("none", "null", "nan", "")
 
 
+def stripped(s: Column) -> Column:
+    """White space of any kind off both ends."""
+    return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
+
+
+def _of_commas(raw: Column) -> Column:
+    """struct(surname, given) of `surname, given, ...`: the first part and the rest; one part stands for both; NULL without any."""
+    def of(parts):
+        first, rest = F.get(parts, F.lit(0)), F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), " ")
+        return F.when(F.size(parts) > 0, F.struct(first.alias("surname"), F.when(F.size(parts) > 1, rest).otherwise(first).alias("given")))
+
+    return let(F.filter(F.transform(F.split(raw, ","), stripped), lambda x: x != ""), of)
+
+
 def person_name(family: Column, given: Column, display: Column) -> Column:
-    """struct of given, surname and preferred; a single word stands for both."""
-    d = collapse(display)
-    words = F.split(d, " ")
-    n = F.size(words)
-    comma = d.contains(",")
-    after = F.trim(F.regexp_replace(d, "^[^,]*,", ""))
-    surname = F.coalesce(nothing_if_blank(family), F.when(comma, F.trim(F.substring_index(d, ",", 1))).otherwise(F.element_at(words, -1)))
-    first = F.when(comma, after).when(n == 1, d).otherwise(F.array_join(F.slice(words, F.lit(1), n - 1), " "))
-    g = F.coalesce(nothing_if_blank(given), F.when(nothing_if_blank(family).isNull(), first))
-    return F.struct(g.alias("given"), surname.alias("surname"), F.concat_ws(" ", g, surname).alias("preferred"))
+    """struct of given, surname and preferred.
+
+    A comma in family or given name splits both together; without either, the display name is split at its comma or
+    before its last word. A part that is missing is filled from the other. Marks go last, then the lengths are cut.
+    """
+    none = lambda c: F.when(c != "", c)
+    clean = lambda c: none(name_without_stops(c))
+    pair = lambda surname, first: F.struct(surname.alias("surname"), first.alias("given"))
+
+    def by_comma(p):
+        comma = F.coalesce(p["family"].contains(","), F.lit(False)) | F.coalesce(p["given"].contains(","), F.lit(False))
+        return F.coalesce(F.when(comma, _of_commas(F.concat_ws(" ", p["given"], p["family"]))), pair(p["family"], p["given"]))
 
+    def shown(name):
+        words = F.split(name, " ")
+        by_space = pair(F.element_at(words, -1), F.when(F.size(words) > 1, F.array_join(F.slice(words, F.lit(1), F.size(words) - 1), " ")).otherwise(name))
+        return F.coalesce(F.when(name.contains(","), _of_commas(name)), by_space)
 
-#: Suffixes of which one is dropped, and particles that belong to the surname, longer ones first.
-SUFFIXES = ("NETO", "SOBRINHO", "SR", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X")
-PARTICLES = ("DE LA", "DE LOS", "DE LAS", "VAN DER", "VAN DEN", "VON DER", "DE", "DA", "DO", "DOS", "DAS", "DI", "DU", "DEL", "VAN", "VON", "LE", "LA")
+    def named(p):
+        return F.when(p["surname"].isNull() & p["given"].isNull() & none(display).isNotNull(), let(stripped(display), shown)).otherwise(p)
+
+    def filled(p):
+        surname, first = none(p["surname"]), none(p["given"])
+        return pair(clean(F.coalesce(surname, first)), clean(F.coalesce(first, surname)))
+
+    def cut(p):
+        preferred = none(F.left(F.concat_ws(" ", p["given"], p["surname"]), F.lit(255)))
+        return F.struct(F.left(p["given"], F.lit(255)).alias("given"), F.left(p["surname"], F.lit(100)).alias("surname"), preferred.alias("preferred"))
+
+    start = F.struct(none(family).alias("family"), none(given).alias("given"))
+    return let(start, lambda p: let(by_comma(p), lambda q: let(named(q), lambda r: let(filled(r), cut))))
+
+
+def display_name(given: Column, family: Column) -> Column:
+    """given and family name, NULL if neither says anything."""
+    part = lambda c: F.when(stripped(c) != "", stripped(c))
+    shown = F.concat_ws(" ", part(given), part(family))
+    return F.when(shown != "", shown)
+
+
+#: Suffixes of which one is dropped; particles of two words, tried before those of one; what separates words.
+SUFFIXES = "NETO NETA SOBRINHO SOBRINHA BISNETO BISNETA TERCEIRO TERCEIRA SR SRA II III IV V VI VII VIII IX X".split()
+TWO_WORDS = ("VAN DER", "VAN DEN", "VAN DE", "VON DER", "VON DEM", "DE LA", "DE LOS", "DE LAS", "DE LO")
+PARTICLES = (
+    "DO DA DOS DAS DE DEL DELA DELLA DELLE DELLO DEGLI DI DU DES VAN VON AL EL LA LE LES LO LOS LAS SAINT SAINTE SAN SANTA SANTO "
+    "MC MAC BEN BIN IBN AB AP AUF ZU ZUM ZUR TER TEN"
+).split()
+NAME_MARKS = "[.,()\"'\u2010\u2212\u2013\u2014/\\[\\]{}#@!?;:\u00b0\u00aa\u00ba&~`^_+=|<>]"
 
 
 def signature(name: Column) -> Column:
-    """surname with its particles and the initials of the rest; NULL for a single letter."""
-    s = F.upper(name)
-    s = F.regexp_replace(s, r"[.,;:'\"`()\[\]/]+", " ")
-    s = collapse(F.regexp_replace(s, r"(?U)(?<![\p{Alpha}])-|-(?![\p{Alpha}])", " "))
-    s = F.regexp_replace(s, rf" (?:{'|'.join(SUFFIXES)})$", "")
-    surname = F.regexp_substr(s, F.lit(rf"(?<= )(?:(?:{'|'.join(PARTICLES)}) )?[^ ]+$"))
-    rest = F.trim(F.left(s, F.length(s) - F.length(surname)))
-    initials = F.array_join(F.transform(F.split(rest, " "), lambda w: F.left(w, F.lit(1))), "")
-    single = F.when(F.length(s) > 1, s)
-    return F.when(~s.contains(" "), single).otherwise(F.concat_ws(" ", surname, F.when(rest != "", initials)))
+    """the surname with its particle, and the initials of the rest, each a word; NULL for a single letter or nothing."""
+    s = F.trim(F.regexp_replace(F.upper(name), NAME_MARKS, " "))
+    s = F.regexp_replace(F.regexp_replace(s, r"(?U)([^\p{Alpha}])-", "$1 "), r"(?U)-([^\p{Alpha}])", " $1")
+    s = F.trim(F.regexp_replace(F.regexp_replace(s, "^-|-$", ""), r"(?U)\s+", " "))
+    s = F.trim(F.regexp_replace(s, rf"(?U)\s+(?:{'|'.join(SUFFIXES)})$", ""))
+
+    def of(s):
+        last = lambda words: F.regexp_substr(s, F.lit(rf"(?U)\b(?:{'|'.join(words)})\s+[^\s]+$"))
+        surname = F.coalesce(last(TWO_WORDS), last(PARTICLES), F.regexp_substr(s, F.lit(r"(?U)[^\s]+$")))
+
+        def whole(surname):
+            rest = F.trim(F.left(s, F.length(s) - F.length(surname)))
+            initials = F.trim(F.regexp_replace(rest, r"(?U)\b(\p{Alpha})[^\s]*\s*", "$1 "))
+            return F.trim(F.when(rest != "", F.concat_ws(" ", surname, initials)).otherwise(surname))
+
+        return F.when(s.contains(" "), let(surname, whole)).when(F.length(s) > 1, s)
+
+    return let(s, of)
+
+
+#: Particles and suffixes of the family name in the repair of names; these differ from the signature's.
+_FAMILY_PARTICLES = ("do", "da", "dos", "das", "de", "del", "della", "di", "du", "van der", "van", "von der", "von", "al", "el", "la", "le", "saint", "sainte", "mc", "mac", "o")
+_FAMILY_SUFFIXES = ("filho", "junior", "neto", "sobrinho", "jr", "sr", "iii", "iv", "v")
+
+
+def family_and_given(preferred: Column) -> Column:
+    """struct of family_name and given_names of a preferred name: the last word with its particles and a suffix, and the rest.
+
+    Cut by characters, so that letters of several bytes shift nothing.
+    """
+    name = F.trim(preferred)
+    family = F.regexp_substr(name, F.lit(rf"(?iU)(?:\b(?:{'|'.join(_FAMILY_PARTICLES)})\s+)*[^\s]+(?:\s+(?:{'|'.join(_FAMILY_SUFFIXES)}))?$"))
+    rest = F.trim(F.left(name, F.length(name) - F.length(family)))
+    several = name.contains(" ")
+    return F.when(
+        preferred.isNotNull(),
+        F.struct(F.when(several, family).otherwise(name).alias("family_name"), F.when(several & (rest != ""), rest).alias("given_names")),
+    )
+
+
+def renamed(preferred: Column, wrong: str, right: str) -> Column:
+    """a preferred name whose last word or words are wrong (without regard to case and accents) ends in right instead."""
+    ends = same_letters(F.right(preferred, F.lit(len(wrong) + 1))) == same_letters(F.lit(f" {wrong}"))
+    return F.when(ends, F.concat(F.left(preferred, F.length(preferred) - len(wrong)), F.lit(right))).otherwise(preferred)
 
 
 def same_letters(s: Column) -> Column:
     """Case- and accent-insensitive key with trailing spaces ignored, as the tables' collation compares."""
     return F.collate(s, "UNICODE_CI_AI_RTRIM")
+
+
+def first_text(values: Column) -> Column:
+    """the first of a list of texts, NULL for an empty one; a single text is a list of one."""
+    return F.get(values, F.lit(0))
+
+
+def blank_title(values: Column) -> Column:
+    """F32 over a list: whether its first title is missing or blank."""
+    return stripped(F.coalesce(first_text(values), F.lit(""))) == ""
+
+
+#: What an abstract may begin with, by stage.
+ABSTRACT_WORDS = ("abstract", "resumo", "resumen")
+ABSTRACT_WORDS_SQL = ("abstract", "resumen", "resumo", "résumé", "zusammenfassung", "sommario", "riassunto")
+
+
+def abstract_cleaned(s: Column) -> Column:
+    """F26 with F35 of the cleanup stage: the prefix goes after the text has been cleaned, then the edges again."""
+    return trimmed_edges(stripped(F.regexp_replace(cleaned_text(s), rf"(?i)^(?:{'|'.join(ABSTRACT_WORDS)})(?U)\s*[:\-–—]*\s*", "")))
+
+
+def abstract_without_prefix(s: Column) -> Column:
+    """F35 of the SQL stage, in its three passes: the word, what it leaves at the start, NULL for what is then empty."""
+    one = F.trim(F.regexp_replace(s, rf"(?iu)^(?:{'|'.join(ABSTRACT_WORDS_SQL)})\s*:?\s*", ""))
+    one = F.when(s.rlike(rf"(?iu)^(?:{'|'.join(ABSTRACT_WORDS_SQL)})"), one).otherwise(s)
+    two = F.when(one.rlike(r"^[\s:\-–—]"), F.trim(F.regexp_replace(one, r"^[\s:\-–—]+", ""))).otherwise(one)
+    return F.when(F.trim(two) != "", two)
+
+
+def clean_string(s: Column, most: int | None = None) -> Column:
+    """stripped and cut, NULL if nothing is left."""
+    out = F.when(stripped(s.cast("string")) != "", stripped(s.cast("string")))
+    return F.left(out, F.lit(most)) if most else out
+
+
+def whole_number(s: Column) -> Column:
+    """an integer, NULL for what isn't one."""
+    t = stripped(s.cast("string"))
+    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("long"))
+
+
+#: Roles of contributors, by the field that they come in.
+ROLES = {"author": "AUTHOR", "editor": "EDITOR", "translator": "TRANSLATOR", "reviewer": "REVIEWER"}
+
+
+def role(s: Column) -> Column:
+    """one of the four roles, NULL for any other."""
+    key = F.lower(stripped(s))
+    return F.when(key.isin(*ROLES), F.upper(key))
+
+
+def kept_if_shrunk(old: Column, new: Column) -> Column:
+    """the new value, but the old one where it is empty or, of a text of 20 characters or more, under a hundredth of it."""
+    tiny = (F.length(old) >= 20) & (F.length(new) * 100 < F.length(old))
+    return F.when((new == "") | tiny, old).otherwise(new)

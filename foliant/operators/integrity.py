@@ -21,7 +21,11 @@ def split_compound(persons: DataFrame) -> DataFrame:
 
 
 def open_access_from_venues(publications: DataFrame, venues: DataFrame) -> DataFrame:
-    """0 becomes 1 where the venue is open; NULL stays."""
-    open_ = venues.where("open_access = 1").select(F.col("id").alias("venue_id"), F.lit(True).alias("__open"))
-    rows = publications.join(open_, "venue_id", "left")
-    return rows.withColumn("open_access", F.when((F.col("open_access") == 0) & F.col("__open"), 1).otherwise(F.col("open_access"))).drop("__open")
+    """Of publications in a stored venue, 0 becomes 1 where the venue is open, or a license or a SciELO number is known; NULL stays."""
+    known = venues.select(F.col("id").alias("venue_id"), (F.col("open_access") == 1).alias("__open")).groupBy("venue_id").agg(F.coalesce(F.max("__open"), F.lit(False)).alias("__open"))
+    rows = publications.join(known, "venue_id", "left")
+    opened = F.col("__open")
+    for c in ("license_url", "scielo_pid"):
+        if c in publications.columns:
+            opened = opened | (F.col("__open").isNotNull() & F.col(c).isNotNull())
+    return rows.withColumn("open_access", F.when((F.col("open_access") == 0) & opened, 1).otherwise(F.col("open_access"))).drop("__open")

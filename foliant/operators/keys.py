@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import Scratch
+
 
 def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
@@ -21,15 +23,22 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: list[str], order: l
     return existing.unionByName(once.join(old, _same(once, old, keys), "left_anti"))
 
 
-def skip_on_conflict(df: DataFrame, key: str, new: Column, pk: str) -> DataFrame:
-    """M2: key becomes new unless another row holds that value: one that had it before, else the least pk.
+def skip_on_conflict(df: DataFrame, key: str, new: Column, pk: str, within: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """M2: key becomes new unless another row (of the same values of within) holds that value: one that had it before, else the least pk.
 
     Losers keep their old value and are marked in `skipped`.
     """
     rows = df.withColumn("__new", new).withColumn("__stays", F.col("__new").eqNullSafe(F.col(key)))
-    rank = F.row_number().over(Window.partitionBy("__new").orderBy(F.desc("__stays"), pk))
-    lost = (rank > 1) & F.col("__new").isNotNull() & ~F.col("__stays")
-    return rows.withColumn("skipped", lost).withColumn(key, F.when(F.col("skipped"), F.col(key)).otherwise(F.col("__new"))).drop("__new", "__stays")
+    # Only values that some row would take on can clash; rows that stay as they are, which are most, need no order among them.
+    by = ["__new", *within]
+    key_, held_ = [f"__k{i}" for i in range(len(by))], [f"__h{i}" for i in range(len(by))]
+    first = rows.where(~F.col("__stays") & F.col("__new").isNotNull()).groupBy(*by).agg(F.min(pk).alias("__first")).toDF(*key_, "__first")
+    held = rows.where(F.col("__stays") & F.col("__new").isNotNull()).select(*by).distinct().toDF(*held_).withColumn("__held", F.lit(True))
+    on = lambda a, b: reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b)])
+    claims = first.join(held, on(key_, held_), "left").drop(*held_)
+    joined = rows.join(claims, on(by, key_), "left").drop(*key_)
+    lost = ~F.col("__stays") & F.col("__new").isNotNull() & (F.coalesce("__held", F.lit(False)) | (F.col("__first") != F.col(pk)))
+    return joined.withColumn("skipped", F.coalesce(lost, F.lit(False))).withColumn(key, F.when(F.col("skipped"), F.col(key)).otherwise(F.col("__new"))).drop("__new", "__stays", "__first", "__held")
 
 
 def merge(existing: DataFrame, incoming: DataFrame, keys: list[str], policy: dict[str, str]) -> DataFrame:
@@ -66,8 +75,8 @@ def merge_scores(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return joined.select(F.coalesce("a.venue_id", "b.venue_id").alias("venue_id"), F.coalesce("a.subject_id", "b.subject_id").alias("subject_id"), score.alias("score"), F.coalesce("b.source", "a.source").alias("source"))
 
 
-#: How far a version of a work has come.
-VERSION_RANK = {"submittedVersion": 1, "acceptedVersion": 2, "publishedVersion": 3}
+#: How far a version of a work has come; case doesn't matter.
+VERSION_RANK = {"submittedversion": 1, "acceptedversion": 2, "publishedversion": 3}
 
 
 def upgraded_version(current: Column, incoming: Column) -> Column:
@@ -76,21 +85,25 @@ def upgraded_version(current: Column, incoming: Column) -> Column:
     def rank(c):
         out = F.lit(0)
         for name, n in VERSION_RANK.items():
-            out = F.when(c == name, n).otherwise(out)
+            out = F.when(F.lower(F.trim(c)) == name, n).otherwise(out)
         return out
 
-    return F.when(incoming.isNotNull() & (rank(incoming) >= rank(current)), incoming).otherwise(current)
+    missing = current.isNull() | (current == "")
+    return F.when((incoming != "") & (missing | (rank(incoming) >= rank(current))), incoming).otherwise(current)
 
 
 def new_ids(existing: DataFrame, pk: str, rows: DataFrame, key: str) -> DataFrame:
-    """Rows with pk after the greatest existing one: dense over the distinct keys in their order.
+    """Rows with pk after the greatest existing one: dense over the distinct keys in their order. NULL keys get none.
 
-    The numbering is by range partition and running totals of partitions, so no single task sorts all keys.
+    Keys are dealt by range and sorted there; their places are written down, so that they can't differ between two
+    uses. A place and the running total of the partitions before it, one row each, make the number: no task sorts all keys.
     """
-    keys = rows.select(key).distinct().repartitionByRange(key).withColumn("__part", F.spark_partition_id())
-    inside = keys.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(key)))
-    totals = inside.groupBy("__part").agg(F.max("__n").alias("__total"))
-    before = totals.alias("p").join(totals.alias("q"), F.col("q.__part") < F.col("p.__part"), "left").groupBy("p.__part").agg(F.coalesce(F.sum("q.__total"), F.lit(0)).alias("__before"))
+    scratch = Scratch(rows.sparkSession, "ids")
+    keys = rows.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(key).sortWithinPartitions(key)
+    placed = scratch.write(keys.withColumn("__at", F.monotonically_increasing_id()), "placed")
+    placed = placed.select(key, F.shiftright("__at", 33).alias("__part"), (F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("__n"))
+    totals = placed.groupBy("__part").agg(F.max("__n").alias("__total"))
+    before = F.coalesce(F.sum("__total").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = existing.agg(F.coalesce(F.max(pk), F.lit(0)).alias("m"))
-    numbered = inside.join(F.broadcast(before), "__part").withColumn(pk, base.scalar() + F.col("__before") + F.col("__n"))
+    numbered = placed.join(totals.select("__part", before.alias("__before")), "__part").withColumn(pk, base.scalar() + F.col("__before") + F.col("__n"))
     return rows.join(numbered.select(key, pk), key)

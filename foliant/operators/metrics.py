@@ -63,3 +63,12 @@ def impact_factors(publications: DataFrame, works: DataFrame, references: DataFr
     out = window.select("venue_id").distinct().join(below, "venue_id", "left").join(above, "venue_id", "left")
     ratio = F.round(F.coalesce("cites", F.lit(0)).cast("decimal(20,0)") / F.col("items"), 3).cast("decimal(10,3)")
     return out.select("venue_id", F.coalesce(F.when(F.col("items") > 0, ratio), F.lit(0).cast("decimal(10,3)")).alias("impact_factor"))
+
+
+def write_back(rows: DataFrame, stats: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
+    """Rows (id) with the columns of names (column of rows: column of stats) from stats by key; rows that stats don't list keep what they had."""
+    s = stats.select(F.col(key).alias("id"), *[F.col(v).alias(f"__{k}") for k, v in names.items()], F.lit(True).alias("__there"))
+    there = F.col("__there")
+    joined = rows.join(s, "id", "left")
+    old = lambda c: F.col(c) if c in rows.columns else F.lit(None)
+    return joined.withColumns({c: F.when(there, F.col(f"__{c}")).otherwise(old(c)) for c in names}).drop("__there", *[f"__{c}" for c in names])

@@ -78,3 +78,8 @@ def rank(venues, venue_subjects, subjects, tiers, authorships, publications, per
     out = rows.select("venue_id", "subject_score", oa, *map(given, ["authorship_score", "affiliation_score", "citation_score"]), llm)
     total = sum([F.col(c) for c in out.columns[2:]], F.col("subject_score"))
     return out.withColumn("total_score", F.when(on | (F.col("llm_score") > 0), F.round(total, 3)).otherwise(zero))
+
+
+def scored(ranking: DataFrame) -> DataFrame:
+    """How many venues have a score."""
+    return ranking.agg(F.count_if(F.col("total_score") > 0).alias("n"))

@@ -44,3 +44,33 @@ def remap(child: DataFrame, column: str, pairs: DataFrame, keys: list[str]) -> D
     rest = [c for c in rows.columns if c not in keys and c != "__moved"]
     first = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("__moved", *rest)).alias("r")) if rest else rows.select(*keys).distinct()
     return first.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest]) if rest else first
+
+
+def merge_organizations(catalog: dict[str, DataFrame], primary: int, secondary: int) -> dict[str, DataFrame]:
+    """Organisation secondary folded into primary: numbers and address that primary lacks are filled, five tables repointed, secondary deleted.
+
+    A row that would then have the key of another, of authorships or funding, is dropped in its favour.
+    """
+    if primary is None or secondary is None:
+        raise ValueError("both organisations must be given")
+    if primary == secondary:
+        raise ValueError("an organisation can't be merged into itself")
+    orgs = catalog["organizations"]
+    there = {r.id for r in orgs.where(F.col("id").isin(primary, secondary)).select("id").distinct().collect()}
+    if there != {primary, secondary}:
+        raise ValueError("one or both organisations don't exist")
+    other = orgs.where(F.col("id") == secondary)
+    filled = [c for c in ("ror_id", "wikidata_id", "openalex_id", "mag_id", "url") if c in orgs.columns]
+    theirs = {c: other.agg(F.max(c)).scalar() for c in filled}
+    mine = F.col("id") == primary
+    out = dict(catalog)
+    out["organizations"] = orgs.where(F.col("id") != secondary).withColumns({c: F.when(mine, F.coalesce(F.col(c), theirs[c])).otherwise(F.col(c)) for c in filled})
+    pairs = orgs.sparkSession.createDataFrame([(secondary, primary)], "duplicate long, canonical long")
+    for table, column in (("authorships", "affiliation_id"), ("funding", "funder_id"), ("programs", "institution_id"), ("publications", "publisher_id"), ("venues", "publisher_id")):
+        if table in out:
+            if table == "funding":
+                keys = [c for c in ("work_id", "funder_id", "grant_number") if c in out[table].columns]
+                out[table] = remap(out[table], column, pairs, keys).select(*out[table].columns)
+            else:
+                out[table] = out[table].withColumn(column, F.when(F.col(column) == secondary, F.lit(primary)).otherwise(F.col(column)))
+    return out

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keys import new_ids
+from ..functions import identifiers, text, values
+from . import entities
+from .keys import merge_scores, new_ids
 from .resolve import remap
 
 # The columns of a venue that merging treats alike.
@@ -24,6 +26,10 @@ POLICY = {
     "scimago": {
         "issn": "null", "eissn": "null", "scopus_id": "null", "publisher_id": "null", "country_code": "null", "sjr": "overwrite", "open_access": "overwrite", "h_index": "max",
     },
+    "scopus": {
+        "name": "blank", "type": "overwrite", "issn": "blank", "eissn": "blank", "scopus_id": "blank", "publisher_id": "blank", "homepage_url": "overwrite", "open_access": "overwrite", "is_in_doaj": "overwrite",
+        "is_indexed_in_scopus": "overwrite", "aggregation_type": "overwrite", "citescore": "overwrite", "snip": "overwrite", "sjr": "overwrite", "validation_status": "overwrite",
+    },
 }
 
 
@@ -71,6 +77,70 @@ def update_scimago(venues: DataFrame, records: DataFrame, as_of: Column) -> Data
     return out.withColumns(new).drop("__named")
 
 
+def scopus_entries(titles: DataFrame) -> DataFrame:
+    """The fields of the entries of Scopus titles (entry, path), cut to their lengths; rid is the file's own id, where it has one."""
+    e = lambda f: F.col(f"entry.`{f}`")
+    first = lambda x: values.first_metric(F.transform(x, lambda v: v["$"]))
+    kind = text.clean_string(e("prism:aggregationType"), 50)
+    links = F.transform(e("link"), lambda x: F.struct(x["@ref"].alias("ref"), x["@href"].alias("href")))
+    fields = {
+        "name": text.clean_string(e("dc:title"), 512), "publisher": text.clean_string(e("dc:publisher"), 512), "type": values.venue_type(kind, "scopus"), "aggregation_type": F.lower(kind), "scopus_id": text.clean_string(e("source-id"), 50),
+        "issn": identifiers.issn(e("prism:issn")), "eissn": identifiers.issn(e("prism:eIssn")), "homepage_url": values.homepage(e("prism:url"), links), "open_access": values.flag(e("openaccess")), "is_in_doaj": values.flag(e("openaccessArticle")),
+        "citescore": values.citescore(e("citeScoreYearInfoList")["citeScoreCurrentMetric"], e("citeScoreYearInfoList")["citeScoreTracker"]), "sjr": first(e("SJRList")["SJR"]), "snip": first(e("SNIPList")["SNIP"]),
+        "subject_areas": F.transform(e("subject-area"), lambda x: x["$"]), "fallback_id": identifiers.venue_of_file(F.col("path")),
+    }
+    return titles.where("entry is not null").select("path", *[v.alias(c) for c, v in fields.items()])
+
+
+def update_scopus(venues: DataFrame, records: DataFrame, as_of: Column) -> DataFrame:
+    """Venues with what records (id and fields of scopus_entries) say; a type that maps to OTHER changes nothing. They are indexed and validated by that."""
+    said = records.withColumns({"type": F.when(F.col("type") != "OTHER", F.col("type")), "is_indexed_in_scopus": F.lit(1), "validation_status": F.lit("VALIDATED")})
+    named = records.select("id").distinct().withColumn("__named", F.lit(True))
+    out = apply_policy(venues, said, "id", POLICY["scopus"]).join(named, "id", "left")
+    return out.withColumn("last_validated_at", F.when(F.col("__named"), as_of).otherwise(F.col("last_validated_at"))).drop("__named").select(*venues.columns)
+
+
+def conflicts(venues: DataFrame, columns: tuple[str, ...] = ("issn", "eissn")) -> DataFrame:
+    """(field, value, duplicate, canonical): a value of the columns taken together, or of name and type, that a lesser venue has too."""
+    each = F.array(*[F.struct(F.lit("identifier").alias("field"), F.lower(F.col(c).cast("string")).alias("value")) for c in columns], F.struct(F.lit("name").alias("field"), F.concat_ws("\x1f", F.lower("name"), "type").alias("value")))
+    rows = venues.select("id", F.inline(each)).where("value is not null and trim(value) <> ''").distinct()
+    least = rows.groupBy("field", "value").agg(F.min("id").alias("canonical"))
+    return rows.join(least, ["field", "value"]).where("id <> canonical").select("field", "value", F.col("id").alias("duplicate"), "canonical")
+
+
+def merge_by_map(venues: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(venues, what was merged: duplicate, canonical) of a map of wrong ids to right ISSNs (wrong_id, issn).
+
+    The right venue is the least that has the ISSN in either column; where none has, a venue with the wrong one's name and type and
+    that ISSN is made for each ISSN. Ids that aren't stored and ISSNs that aren't valid are left out.
+    """
+    wanted = pairs.select(F.col("wrong_id").cast("long").alias("duplicate"), identifiers.issn(F.col("issn")).alias("key")).where("duplicate is not null and key is not null").distinct()
+    wanted = wanted.join(venues.select(F.col("id").alias("duplicate"), "name", "type"), "duplicate")
+    have = venues.select("id", F.explode(F.array(identifiers.issn(F.col("issn")), identifiers.issn(F.col("eissn")))).alias("key")).where("key is not null").groupBy("key").agg(F.min("id").alias("canonical"))
+    found = wanted.join(have, "key", "left")
+    fresh = found.where("canonical is null").groupBy("key").agg(F.min_by(F.struct("name", "type"), "duplicate").alias("v")).select("key", "v.name", "v.type")
+    made = new_ids(venues, "id", fresh, "key").withColumn("issn", F.col("key"))
+    everything = venues.unionByName(made.select("id", "name", "type", "issn"), allowMissingColumns=True).select(*venues.columns)
+    into = found.where("canonical is not null").select("duplicate", "canonical").unionByName(found.where("canonical is null").drop("canonical").join(made.select("key", F.col("id").alias("canonical")), "key").select("duplicate", "canonical"))
+    into = into.where("duplicate <> canonical").groupBy("duplicate").agg(F.min("canonical").alias("canonical"))
+    return merge_venues(everything, into), into
+
+
+def link_categories(venue_subjects: DataFrame, subjects: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(venue_subjects, subjects) with the categories of rows (venue_id, categories as text).
+
+    J31: a category is a SCImago subject, else a Scopus subject area of that name, else a new one. F63, G21: its quartile is
+    its score, the best of a venue's counts. M4: a stored link keeps the greater score.
+    """
+    each = rows.select("venue_id", F.posexplode(values.categories(F.col("categories"))).alias("i", "c")).select("venue_id", F.left("c.term", F.lit(255)).alias("term"), values.quartile_score(F.col("c.quartile")).alias("score"))
+    terms = each.withColumn("key", F.left(text.term_key(F.col("term")), F.lit(255))).where("key <> ''")
+    none = F.lit(None)
+    named = terms.groupBy("key").agg(F.min("term").alias("term")).select(F.col("key").alias("rid"), "term", none.cast("string").alias("external_uri"), none.cast("long").alias("parent_id"))
+    everything, links = entities.subjects(subjects, named, "SCImago", "Category", fallback=("Scopus", "SubjectArea"))
+    scored = terms.join(links.select(F.col("rid").alias("key"), F.col("id").alias("subject_id")), "key").groupBy("venue_id", "subject_id").agg(F.max("score").alias("score"))
+    return merge_scores(venue_subjects, scored.withColumn("source", F.lit("scimago"))), everything
+
+
 def status_of_error(error: Column) -> Column:
     """The status that a response without an entry leaves; NULL without an error."""
     return F.when(F.lower(F.trim(error)).contains("no results found"), "NOT_FOUND").when(error.isNotNull(), "FAILED")

@@ -10,12 +10,12 @@ works AS (
   SELECT o_orderkey AS id, CAST(floor(o_totalprice) AS BIGINT) % 50 AS citation_count,
          CASE WHEN o_orderkey % 4 = 0 THEN 'DATASET' ELSE 'ARTICLE' END AS work_type FROM orders),
 pubs AS (
-  SELECT o_orderkey AS id, o_orderkey AS work_id, o_custkey % 97 AS venue_id, year(o_orderdate) AS year, o_orderkey % 2 AS open_access,
+  SELECT o_orderkey AS id, o_orderkey AS work_id, o_custkey AS venue_id, year(o_orderdate) AS year, o_orderkey % 2 AS open_access,
          '10.1/' || o_orderkey AS doi FROM orders
   UNION ALL
-  SELECT -o_orderkey, o_orderkey, o_custkey % 31, year(o_orderdate) + 1, o_orderkey % 3, '10.2/' || o_orderkey FROM orders WHERE o_orderkey % 5 = 0),
+  SELECT -o_orderkey, o_orderkey, o_custkey, year(o_orderdate) + 1, o_orderkey % 3, '10.2/' || o_orderkey FROM orders WHERE o_orderkey % 5 = 0),
 auths AS (
-  SELECT l_orderkey AS work_id, l_suppkey AS person_id, CASE WHEN l_linenumber <> 7 THEN l_partkey % 60 END AS affiliation_id,
+  SELECT l_orderkey AS work_id, l_suppkey AS person_id, CASE WHEN l_linenumber <> 7 THEN l_partkey END AS affiliation_id,
          l_returnflag AS role, l_linenumber AS position, CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END AS is_corresponding FROM lineitem),
 refs AS (
   SELECT l_orderkey AS citing_work_id, CASE WHEN l_linenumber <> 6 THEN '10.1/' || (l_partkey * 10) END AS cited_doi,
@@ -23,21 +23,21 @@ refs AS (
          CASE WHEN l_linestatus = 'F' THEN 'RESOLVED' ELSE 'PENDING' END AS status, CAST(NULL AS VARCHAR) AS resolved_at, l_linenumber AS n FROM lineitem),
 venues AS (
   SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS open_access, CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 6 END AS llm_relevance
-  FROM customer WHERE c_custkey < 100),
+  FROM customer),
 persons AS (SELECT s_suppkey AS id, s_suppkey % 12 AS h_index, s_name AS preferred_name FROM supplier),
 subjects AS (
   SELECT p_partkey AS id, p_partkey % 40 AS parent_id, CASE WHEN p_partkey % 2 = 0 THEN 'OpenAlex' ELSE 'Scopus' END AS vocabulary, 'Topic' AS subject_type FROM part),
 tiers AS (
   SELECT p_partkey AS subject_id, CASE WHEN p_partkey % 2 = 0 THEN 'OpenAlex' ELSE 'Scopus' END AS vocabulary,
-         CASE WHEN p_partkey % 7 = 0 THEN 'N' ELSE 'A' END AS tier, CAST(p_partkey % 11 AS DOUBLE) AS weight FROM part WHERE p_partkey <= 80),
+         CASE WHEN p_partkey % 7 = 0 THEN 'N' ELSE 'A' END AS tier, CAST(p_partkey % 11 AS DOUBLE) AS weight FROM part),
 vsubs AS (
-  SELECT o_custkey % 97 AS venue_id, l_partkey % 120 AS subject_id, max(l_discount) AS score
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 5 = 0 GROUP BY 1, 2)
+  SELECT o_custkey AS venue_id, l_partkey AS subject_id, max(l_discount) AS score
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
 """
 
 
 class Tables:
-    """The engine's tables over a folder of the driver's."""
+    """The engine's tables over all rows of a folder of the driver's: every customer a venue, every part a subject with a tier."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -52,13 +52,13 @@ class Tables:
     @property
     def publications(self) -> DataFrame:
         o = self.raw("orders")
-        first = o.selectExpr("o_orderkey id", "o_orderkey work_id", "o_custkey % 97 venue_id", "year(o_orderdate) year", "o_orderkey % 2 open_access", "concat('10.1/', o_orderkey) doi")
-        return first.union(o.where("o_orderkey % 5 = 0").selectExpr("-o_orderkey", "o_orderkey", "o_custkey % 31", "year(o_orderdate) + 1", "o_orderkey % 3", "concat('10.2/', o_orderkey)"))
+        first = o.selectExpr("o_orderkey id", "o_orderkey work_id", "o_custkey venue_id", "year(o_orderdate) year", "o_orderkey % 2 open_access", "concat('10.1/', o_orderkey) doi")
+        return first.union(o.where("o_orderkey % 5 = 0").selectExpr("-o_orderkey", "o_orderkey", "o_custkey", "year(o_orderdate) + 1", "o_orderkey % 3", "concat('10.2/', o_orderkey)"))
 
     @property
     def authorships(self) -> DataFrame:
         return self.raw("lineitem").selectExpr(
-            "l_orderkey work_id", "l_suppkey person_id", "case when l_linenumber <> 7 then l_partkey % 60 end affiliation_id", "l_returnflag role", "l_linenumber position", "case when l_linenumber = 1 then 1 else 0 end is_corresponding"
+            "l_orderkey work_id", "l_suppkey person_id", "case when l_linenumber <> 7 then l_partkey end affiliation_id", "l_returnflag role", "l_linenumber position", "case when l_linenumber = 1 then 1 else 0 end is_corresponding"
         )
 
     @property
@@ -70,7 +70,7 @@ class Tables:
 
     @property
     def venues(self) -> DataFrame:
-        return self.raw("customer").where("c_custkey < 100").selectExpr("c_custkey id", "c_name name", "case when c_custkey % 3 = 0 then 1 else 0 end open_access", "case when c_custkey % 2 = 0 then c_custkey % 6 end llm_relevance")
+        return self.raw("customer").selectExpr("c_custkey id", "c_name name", "case when c_custkey % 3 = 0 then 1 else 0 end open_access", "case when c_custkey % 2 = 0 then c_custkey % 6 end llm_relevance")
 
     @property
     def persons(self) -> DataFrame:
@@ -80,57 +80,6 @@ class Tables:
     def subjects(self) -> DataFrame:
         return self.raw("part").selectExpr("p_partkey id", "p_partkey % 40 parent_id", "case when p_partkey % 2 = 0 then 'OpenAlex' else 'Scopus' end vocabulary", "'Topic' subject_type")
 
-    @property
-    def tiers(self) -> DataFrame:
-        return self.raw("part").where("p_partkey <= 80").selectExpr(
-            "p_partkey subject_id", "case when p_partkey % 2 = 0 then 'OpenAlex' else 'Scopus' end vocabulary", "case when p_partkey % 7 = 0 then 'N' else 'A' end tier", "cast(p_partkey % 11 as double) weight"
-        )
-
-    @property
-    def venue_subjects(self) -> DataFrame:
-        rows = self.raw("lineitem").where("l_partkey % 5 = 0").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return rows.groupBy(F.expr("o_custkey % 97").alias("venue_id"), F.expr("l_partkey % 120").alias("subject_id")).agg(F.max("l_discount").alias("score"))
-
-
-def _whole(sql: str) -> str:
-    """SQL over whole tables: the projections of SURVEY 7.1, without the subsets and folded ids of SQL."""
-    for old, new in (
-        ("o_custkey % 97 AS venue_id, year", "o_custkey AS venue_id, year"),
-        ("o_custkey % 31, year", "o_custkey, year"),
-        ("l_partkey % 60 END", "l_partkey END"),
-        ("FROM customer WHERE c_custkey < 100)", "FROM customer)"),
-        ("FROM part WHERE p_partkey <= 80)", "FROM part)"),
-        ("o_custkey % 97 AS venue_id, l_partkey % 120 AS subject_id", "o_custkey AS venue_id, l_partkey AS subject_id"),
-        ("l_orderkey = o_orderkey WHERE l_partkey % 5 = 0 GROUP", "l_orderkey = o_orderkey GROUP"),
-    ):
-        if sql.count(old) != 1:
-            raise ValueError(f"not once in SQL: {old}")
-        sql = sql.replace(old, new)
-    return sql
-
-
-WHOLE_SQL = _whole(SQL)
-
-
-class WholeTables(Tables):
-    """The engine's tables over all rows of the driver's: every customer a venue, every part a tier, ids as they are."""
-
-    @property
-    def publications(self) -> DataFrame:
-        o = self.raw("orders")
-        first = o.selectExpr("o_orderkey id", "o_orderkey work_id", "o_custkey venue_id", "year(o_orderdate) year", "o_orderkey % 2 open_access", "concat('10.1/', o_orderkey) doi")
-        return first.union(o.where("o_orderkey % 5 = 0").selectExpr("-o_orderkey", "o_orderkey", "o_custkey", "year(o_orderdate) + 1", "o_orderkey % 3", "concat('10.2/', o_orderkey)"))
-
-    @property
-    def authorships(self) -> DataFrame:
-        return self.raw("lineitem").selectExpr(
-            "l_orderkey work_id", "l_suppkey person_id", "case when l_linenumber <> 7 then l_partkey end affiliation_id", "l_returnflag role", "l_linenumber position", "case when l_linenumber = 1 then 1 else 0 end is_corresponding"
-        )
-
-    @property
-    def venues(self) -> DataFrame:
-        return self.raw("customer").selectExpr("c_custkey id", "c_name name", "case when c_custkey % 3 = 0 then 1 else 0 end open_access", "case when c_custkey % 2 = 0 then c_custkey % 6 end llm_relevance")
-
     @property
     def tiers(self) -> DataFrame:
         return self.raw("part").selectExpr(

@@ -134,8 +134,9 @@ def m26_publishers(spark, sf_dir):
     return venues.publishers(o, table(spark, sf_dir, "part").selectExpr("concat('house ', p_partkey % 80) name"))[1]
 
 
-_ROLES = """cur AS (SELECT l_orderkey AS work_id, l_suppkey AS person_id, l_returnflag AS role, min(l_linenumber) AS position FROM lineitem GROUP BY 1, 2, 3),
-  des AS (SELECT l_orderkey AS work_id, CASE WHEN l_linenumber % 4 = 0 THEN l_suppkey + 1 ELSE l_suppkey END AS person_id, CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag ELSE 'N' END AS role, min(l_linenumber % 3 + 1) AS position FROM lineitem GROUP BY 1, 2, 3)"""
+_ROLES = """cur AS (SELECT l_orderkey AS work_id, l_suppkey AS person_id, CASE l_returnflag WHEN 'A' THEN 'AUTHOR' WHEN 'R' THEN 'REVIEWER' ELSE 'EDITOR' END AS role, min(l_linenumber) AS position FROM lineitem GROUP BY 1, 2, 3),
+  des AS (SELECT l_orderkey AS work_id, CASE WHEN l_linenumber % 4 = 0 THEN l_suppkey + 1 ELSE l_suppkey END AS person_id, CASE WHEN l_linenumber % 2 = 1 THEN 'EDITOR' WHEN l_returnflag = 'A' THEN 'AUTHOR' WHEN l_returnflag = 'R' THEN 'REVIEWER' ELSE 'EDITOR' END AS role, min(l_linenumber % 3 + 1) AS position
+    FROM lineitem WHERE l_linenumber <> 5 GROUP BY 1, 2, 3)"""
 
 
 @query(
@@ -150,8 +151,11 @@ _ROLES = """cur AS (SELECT l_orderkey AS work_id, l_suppkey AS person_id, l_retu
 def m9_authorship_actions(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem")
     none = {"affiliation_id": F.lit(None).cast("long"), "is_corresponding": F.lit(None).cast("int")}
-    cur = line.groupBy(F.col("l_orderkey").alias("work_id"), F.col("l_suppkey").alias("person_id"), F.col("l_returnflag").alias("role")).agg(F.min("l_linenumber").alias("position"))
-    who, role = F.when(F.col("l_linenumber") % 4 == 0, F.col("l_suppkey") + 1).otherwise(F.col("l_suppkey")), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_returnflag")).otherwise("N")
+    held = F.when(F.col("l_returnflag") == "A", "AUTHOR").when(F.col("l_returnflag") == "R", "REVIEWER").otherwise("EDITOR")
+    cur = line.groupBy(F.col("l_orderkey").alias("work_id"), F.col("l_suppkey").alias("person_id"), held.alias("role")).agg(F.min("l_linenumber").alias("position"))
+    who = F.when(F.col("l_linenumber") % 4 == 0, F.col("l_suppkey") + 1).otherwise(F.col("l_suppkey"))
+    # Wanted roles come as the payload spells them; those that are none of the four count for nothing.
+    role = F.when(F.col("l_linenumber") == 5, "chair").otherwise(F.when(F.col("l_linenumber") % 2 == 0, F.initcap(held)).otherwise(" editor "))
     des = line.select(F.col("l_orderkey").alias("work_id"), who.alias("person_id"), role.alias("role"), (F.col("l_linenumber") % 3 + 1).alias("position"))
     return works.reconcile_authorships(cur.withColumns(none), des.withColumns(none))[1]
 

@@ -145,16 +145,6 @@ def g9_authorship_scores(spark, sf_dir):
     return ranking.authorship_scores(t.authorships, t.publications, t.persons)
 
 
-@over(
-    "g11_core_institutions",
-    """SELECT affiliation_id FROM auths a JOIN pubs p ON a.work_id = p.work_id JOIN venues v ON p.venue_id = v.id
-       WHERE llm_relevance >= 4 AND affiliation_id IS NOT NULL GROUP BY 1 ORDER BY count(DISTINCT person_id) DESC, affiliation_id LIMIT 25""",
-)
-def g11_core_institutions(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return ranking.core_institutions(t.authorships, t.publications, t.venues, 25)
-
-
 @over(
     "g10_citation_scores",
     """, s AS (SELECT id AS venue_id, id % 10 AS subject_score FROM venues)
@@ -167,12 +157,6 @@ def g10_citation_scores(spark, sf_dir):
     return ranking.citation_scores(t.references, t.publications, t.venues.selectExpr("id venue_id", "id % 10 subject_score"))
 
 
-@query("r21_venue_ranking")
-def r21_venue_ranking(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return ranking.rank(t.venues, t.venue_subjects, t.subjects, t.tiers, t.authorships, t.publications, t.persons, t.references)
-
-
 @over(
     "w2_top_subjects",
     """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY venue_id ORDER BY score DESC NULLS LAST, subject_id) AS rank FROM vsubs) WHERE rank <= 10""",
@@ -197,20 +181,6 @@ def g14_distinct_text(spark, sf_dir):
     return summaries.distinct_text(table(spark, sf_dir, "conversations"), "conv_id", "role", "roles")
 
 
-@over(
-    "r22_summary_publications",
-    """, a AS (SELECT work_id, string_agg(role, ' ' ORDER BY position, role) AS authors_search FROM auths GROUP BY 1),
-    s AS (SELECT id AS work_id, work_type AS subjects_search FROM works WHERE id % 3 = 0)
-    SELECT w.id AS work_id, citation_count, work_type, p.id AS publication_id, p.venue_id, year, p.open_access, doi, v.name AS venue_search, authors_search, subjects_search
-    FROM works w JOIN pubs p ON p.work_id = w.id LEFT JOIN venues v ON v.id = p.venue_id LEFT JOIN a ON a.work_id = w.id LEFT JOIN s ON s.work_id = w.id""",
-)
-def r22_summary_publications(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    authors = t.authorships.select("work_id", F.col("role").alias("name"), "position")
-    subjects = t.works.where("id % 3 = 0").selectExpr("id work_id", "work_type name", "1 position")
-    return summaries.publications(t.works, t.publications, t.venues, authors, subjects)
-
-
 @over(
     "m14_open_access",
     """SELECT p.id, p.work_id, CASE WHEN p.open_access = 0 AND v.open_access = 1 THEN 1 ELSE p.open_access END AS open_access FROM pubs p LEFT JOIN venues v ON p.venue_id = v.id""",
@@ -258,19 +228,6 @@ def m2_skip_on_conflict(spark, sf_dir):
     return keys.skip_on_conflict(rows, "k", F.concat(F.lit("v"), (F.col("id") % 500).cast("string")), "id")
 
 
-@over(
-    "m4_merge_scores",
-    """, e AS (SELECT venue_id, subject_id, score, 'old' AS source FROM vsubs WHERE subject_id % 10 = 0), n AS (SELECT venue_id, subject_id, CASE WHEN subject_id % 3 > 0 THEN 0.05 END AS score, 'new' AS source FROM vsubs WHERE venue_id % 2 = 0)
-    SELECT coalesce(e.venue_id, n.venue_id) AS venue_id, coalesce(e.subject_id, n.subject_id) AS subject_id,
-    CASE WHEN e.venue_id IS NOT NULL AND n.venue_id IS NOT NULL THEN greatest(coalesce(e.score, 0), coalesce(n.score, 0)) ELSE coalesce(e.score, n.score) END AS score, coalesce(n.source, e.source) AS source
-    FROM e FULL JOIN n ON e.venue_id = n.venue_id AND e.subject_id = n.subject_id""",
-)
-def m4_merge_scores(spark, sf_dir):
-    v = Tables(spark, sf_dir).venue_subjects
-    new = v.where("venue_id % 2 = 0").selectExpr("venue_id", "subject_id", "case when subject_id % 3 > 0 then 0.05d end score", "'new' source")
-    return keys.merge_scores(v.where("subject_id % 10 = 0").withColumn("source", F.lit("old")), new)
-
-
 @query(
     "m5_merge_policies",
     """WITH a AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name, c_mktsegment AS kind, c_nationkey AS h FROM customer WHERE c_custkey % 3 < 2),
@@ -291,7 +248,7 @@ def m5_merge_policies(spark, sf_dir):
 )
 def m15_new_ids(spark, sf_dir):
     rows = table(spark, sf_dir, "part").selectExpr("p_partkey rid", "p_brand key")
-    existing = table(spark, sf_dir, "part").selectExpr("1000L id").limit(1)
+    existing = spark.createDataFrame([(1000,)], "id long")
     return keys.new_ids(existing, "id", rows, "key")
 
 
@@ -372,18 +329,6 @@ def f_values(spark, sf_dir):
     )
 
 
-@query(
-    "f_text",
-    """SELECT doc_id, left(text, 60) AS s, 'Main ' || lang AS title, 'Sub ' || source AS subtitle, lower(lang) || ' a b' AS term, upper(left(text, 1)) || substr(text, 2, 10) AS first FROM documents WHERE text <> ''""",
-)
-def f_text(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("text <> ''")
-    split = text.split_title(F.concat(F.lit("Main "), F.col("lang"), F.lit(": sub "), F.col("source")), F.lit(None).cast("string"))
-    return d.select(
-        "doc_id", F.left("text", F.lit(60)).alias("s"), split["title"].alias("title"), split["subtitle"].alias("subtitle"), text.term_key(F.concat("lang", F.lit(" (A)-B/"))).alias("term"), text.upper_first(F.left("text", F.lit(11))).alias("first")
-    )
-
-
 @query("f_page_text")
 def f_page_text(spark, sf_dir):
     from ..ship import to_workers
@@ -392,4 +337,4 @@ def f_page_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.ingest_text(F.col("html")).alias("ingest"), text.cleaned_text(F.col("html")).alias("cleaned"))
 
 
-from . import loading, whole  # noqa: E402, F401  (register their queries)
+from . import loading, loads, stored, venues_and_summaries, whole  # noqa: E402, F401  (register their queries)

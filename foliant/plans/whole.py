@@ -1,14 +1,13 @@
-"""Queries over whole texts and whole tables; registered with those of `registry`, whose narrower SQL stays as it is."""
+"""Queries over whole texts, the summaries and the whole ranking; registered with those of `registry`."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..functions import places, text
-from ..operators import integrity, keys, ranking, summaries
-from . import transform
-from .adapters import SQL, WHOLE_SQL, WholeTables
-from .registry import ORACLES, query, table
+from ..operators import keys, ranking, summaries
+from .adapters import SQL, Tables
+from .registry import ORACLES, over, query, table
 
 _SPACE = r"[\p{Z}\t-\r\x{85}]+"
 _EDGE = r"[\p{Z}\p{Cc}\p{Cf}\p{Po}\p{Pd}\p{Pc}|·•…]+"
@@ -21,7 +20,7 @@ def _upper_first(x: str) -> str:
 
 
 def _text_sql() -> str:
-    term = rf"regexp_replace(lower(text), '\p{{P}}+|[^\p{{L}}\p{{N}}\p{{M}}\p{{Z}}\t-\r\x{{85}}]+', ' ', 'g')"
+    term = r"""regexp_replace(lower(text), '[-_/,:;.''"`()\[\]&|]+', ' ', 'g')"""
     values = {
         "text": "text",
         "term": rf"regexp_replace(regexp_replace({term}, '{_SPACE}', ' ', 'g'), '^ | $', '', 'g')",
@@ -64,73 +63,44 @@ def f_text_unicode(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.filter_text(x).alias("filtered"), places.title_case(x).alias("cased"))
 
 
-def over_whole(name: str, sql: str):
-    """Register a query of WholeTables with SQL that may read the same tables."""
-    return query(name, f"WITH {WHOLE_SQL} {sql}")
-
-
 def _select(name: str) -> str:
-    """What a registered query selects, to be read over whole tables; its own SQL stays as it is."""
+    """What a registered query selects."""
     return ORACLES[name].removeprefix(f"WITH {SQL} ")
 
 
-@over_whole("r21_subject_scores_whole", _select("r21_subject_scores"))
-def r21_subject_scores_whole(spark, sf_dir):
-    t = WholeTables(spark, sf_dir)
-    return ranking.subject_scores(t.venues, t.venue_subjects, t.subjects, t.tiers).withColumn("subject_score", F.round("subject_score", 6))
-
-
-@over_whole("w2_top_subjects_whole", _select("w2_top_subjects"))
-def w2_top_subjects_whole(spark, sf_dir):
-    return summaries.top_subjects(WholeTables(spark, sf_dir).venue_subjects).withColumn("rank", F.col("rank").cast("long"))
-
-
-@over_whole("m14_open_access_whole", _select("m14_open_access"))
-def m14_open_access_whole(spark, sf_dir):
-    t = WholeTables(spark, sf_dir)
-    return integrity.open_access_from_venues(t.publications, t.venues).select("id", "work_id", "open_access")
-
-
-@over_whole(
-    "r22_summary_publications_whole",
+@over(
+    "r22_summary_publications",
     """, a AS (SELECT work_id, string_agg(role, ' ' ORDER BY position, role) AS authors_search FROM auths GROUP BY 1)
     SELECT w.id AS work_id, citation_count, work_type, p.id AS publication_id, p.venue_id, year, p.open_access, doi, v.name AS venue_search, authors_search, work_type AS subjects_search
     FROM works w JOIN pubs p ON p.work_id = w.id LEFT JOIN venues v ON v.id = p.venue_id LEFT JOIN a ON a.work_id = w.id""",
 )
-def r22_summary_publications_whole(spark, sf_dir):
-    t = WholeTables(spark, sf_dir)
+def r22_summary_publications(spark, sf_dir):
+    t = Tables(spark, sf_dir)
     authors = t.authorships.select("work_id", F.col("role").alias("name"), "position")
     return summaries.publications(t.works, t.publications, t.venues, authors, t.works.selectExpr("id work_id", "work_type name", "1 position"))
 
 
-@over_whole(
-    "m4_merge_scores_whole",
+@over(
+    "m4_merge_scores",
     """, e AS (SELECT venue_id, subject_id, score, 'old' AS source FROM vsubs), n AS (SELECT venue_id, subject_id + 1 AS subject_id, CASE WHEN subject_id % 3 > 0 THEN 0.05 END AS score, 'new' AS source FROM vsubs)
     SELECT coalesce(e.venue_id, n.venue_id) AS venue_id, coalesce(e.subject_id, n.subject_id) AS subject_id,
     CASE WHEN e.venue_id IS NOT NULL AND n.venue_id IS NOT NULL THEN greatest(coalesce(e.score, 0), coalesce(n.score, 0)) ELSE coalesce(e.score, n.score) END AS score, coalesce(n.source, e.source) AS source
     FROM e FULL JOIN n ON e.venue_id = n.venue_id AND e.subject_id = n.subject_id""",
 )
-def m4_merge_scores_whole(spark, sf_dir):
+def m4_merge_scores(spark, sf_dir):
     """All stored rows against all rows one subject on, so that some meet and some are on one side only."""
-    v = WholeTables(spark, sf_dir).venue_subjects
+    v = Tables(spark, sf_dir).venue_subjects
     new = v.selectExpr("venue_id", "subject_id + 1 subject_id", "case when subject_id % 3 > 0 then 0.05d end score", "'new' source")
     return keys.merge_scores(v.withColumn("source", F.lit("old")), new)
 
 
-@over_whole("c1_transform_whole", _select("c1_transform"))
-def c1_transform_whole(spark, sf_dir):
-    t = WholeTables(spark, sf_dir)
-    catalog = {n: getattr(t, n) for n in ("works", "publications", "authorships", "references", "venues", "persons", "subjects", "tiers", "venue_subjects")}
-    return transform.run(catalog, F.lit("now"), 1998)["summary_persons"].select("person_id", "preferred_name", "total_works", "h_index")
-
-
 _CORE = """SELECT affiliation_id FROM auths a JOIN pubs p ON a.work_id = p.work_id JOIN venues v ON p.venue_id = v.id
        WHERE llm_relevance >= 4 AND affiliation_id IS NOT NULL GROUP BY 1 ORDER BY count(DISTINCT person_id) DESC, affiliation_id LIMIT 500"""
 
 
-@over_whole("g11_core_institutions_whole", _CORE)
-def g11_core_institutions_whole(spark, sf_dir):
-    t = WholeTables(spark, sf_dir)
+@over("g11_core_institutions", _CORE)
+def g11_core_institutions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
     return ranking.core_institutions(t.authorships, t.publications, t.venues)
 
 
@@ -157,7 +127,7 @@ def _ranking_sql() -> str:
     SELECT *, CASE WHEN subject_score > 0 OR llm_score > 0 THEN round(subject_score + oa_score + authorship_score + affiliation_score + citation_score + llm_score, 3) ELSE 0 END AS total_score FROM k"""
 
 
-@over_whole("r21_venue_ranking_whole", _ranking_sql())
-def r21_venue_ranking_whole(spark, sf_dir):
-    t = WholeTables(spark, sf_dir)
+@over("r21_venue_ranking", _ranking_sql())
+def r21_venue_ranking(spark, sf_dir):
+    t = Tables(spark, sf_dir)
     return ranking.rank(t.venues, t.venue_subjects, t.subjects, t.tiers, t.authorships, t.publications, t.persons, t.references)

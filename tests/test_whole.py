@@ -57,18 +57,18 @@ def test_functions_do_not_cut(spark, function, want):
 def test_whole_tables(spark):
     n = {t: spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("customer", "orders", "lineitem", "part")}
     pairs = n["lineitem"].join(n["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey").distinct()
-    whole = adapters.WholeTables(spark, DATA)
+    whole = adapters.Tables(spark, DATA)
     assert whole.venues.count() == n["customer"].count() > 100
     assert whole.tiers.count() == n["part"].count() > 81
     assert whole.venue_subjects.count() == pairs.count()
-    ranked = registry.QUERIES["r21_venue_ranking_whole"](spark, DATA)
+    ranked = registry.QUERIES["r21_venue_ranking"](spark, DATA)
     assert ranked.count() == n["customer"].count()
-    merged = registry.QUERIES["m4_merge_scores_whole"](spark, DATA)
+    merged = registry.QUERIES["m4_merge_scores"](spark, DATA)
     assert merged.select("venue_id", "subject_id").join(pairs.toDF("venue_id", "subject_id"), ["venue_id", "subject_id"]).count() == pairs.count()
-    assert registry.QUERIES["r22_summary_publications_whole"](spark, DATA).where("subjects_search is null or venue_search is null").count() == 0
+    assert registry.QUERIES["r22_summary_publications"](spark, DATA).where("subjects_search is null or venue_search is null").count() == 0
 
 
 def test_core_institutions_at_their_production_limit(spark):
-    t = adapters.WholeTables(spark, DATA)
+    t = adapters.Tables(spark, DATA)
     many = ranking.core_institutions(t.authorships, t.publications, t.venues, 10**6).count()
-    assert registry.QUERIES["g11_core_institutions_whole"](spark, DATA).count() == min(500, many) > 60
+    assert registry.QUERIES["g11_core_institutions"](spark, DATA).count() == min(500, many) > 60
