@@ -1,6 +1,10 @@
 """The corpus pipeline: quality rules, line de-duplication, one text of each near-duplicate class, surrogates for
 personal data, packing. Each stage takes what its predecessor kept; all but the last return the columns of
-documents, with n_chars brought up to date where texts change.
+documents alone, whatever others come in, with n_chars brought up to date where texts change.
+
+Null texts fail the quality rules, and count as empty ones in the later stages but for surrogates, which leave them null.
+Of repeated rows all stay until near-duplicates, which keep one. Null ids are kept apart by their texts. Ties go to the least
+id. Empty tables stay empty.
 """
 
 from __future__ import annotations
