@@ -106,11 +106,17 @@ def abstract_of_jats(s: Column) -> Column:
 
 
 def abstract_of_index(index: Column) -> Column:
-    """the text of an inverted index (word to positions); gaps stay empty, the last word of a place wins."""
-    pairs = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    top = F.array_max(F.transform(pairs, lambda x: x["p"]))
-    at = lambda k: F.coalesce(F.try_element_at(F.filter(pairs, lambda x: x["p"] == k), F.lit(-1))["w"], F.lit(""))
-    return F.when(F.size(pairs) > 0, F.array_join(F.transform(F.sequence(F.lit(0), top), at), " "))
+    """the text of an inverted index (word to positions); gaps stay empty, the last word of a place wins. Sorted once, so its work grows with the text."""
+    words = F.map_entries(index)
+    pairs = F.flatten(F.transform(words, lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("p"), i.alias("i"), e["key"].alias("w")))))
+
+    def joined(s):
+        last = F.filter(s, lambda x, k: F.coalesce(F.get(s, k + 1)["p"] != x["p"], F.lit(True)))
+        gap = lambda at, x, k: x["p"] - F.coalesce(F.when(k > 0, F.get(at, k - 1)["p"]), F.lit(-1)) - 1
+        filled = lambda at: F.transform(at, lambda x, k: F.concat(F.repeat(F.lit(" "), gap(at, x, k)), x["w"]))
+        return let(last, lambda at: F.array_join(filled(at), " "))
+
+    return let(F.array_sort(F.filter(pairs, lambda x: x["p"] >= 0)), lambda s: F.when(F.size(s) > 0, joined(s)))
 
 
 def title_from_letters(s: Column) -> Column:

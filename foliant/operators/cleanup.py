@@ -210,3 +210,36 @@ def profile(catalog: Catalog) -> DataFrame:
             rows = catalog[table].agg(counts.alias("all")).select(F.inline("all"))
             out = rows if out is None else out.unionByName(rows)
     return out
+
+
+def column_stats(before: DataFrame, wanted: Column, after: DataFrame, column: str) -> DataFrame:
+    """Scanned, changed, updated, skipped_integrity, skipped_empty of a column: of the values there, those that cleaning would change, did
+    change, could not because another row holds the value, and would not because nothing would be left."""
+    old = before.select("id", F.col(column).alias("old"), wanted.alias("new")).where("old is not null")
+    rows = old.join(after.select("id", F.col(column).alias("now")), "id")
+    differs = ~F.col("new").eqNullSafe(F.col("old"))
+    empty = differs & (F.col("new") == "")
+    moved = ~F.col("now").eqNullSafe(F.col("old"))
+    return rows.agg(
+        F.count(F.lit(1)).alias("scanned"), F.count_if(differs & ~F.coalesce(empty, F.lit(False))).alias("changed"), F.count_if(moved).alias("updated"),
+        F.count_if(differs & ~moved & ~F.coalesce(empty, F.lit(False))).alias("skipped_integrity"), F.count_if(empty).alias("skipped_empty"),
+    )
+
+
+#: Phases of the clean-up by name, in their order.
+PHASES: dict[str, Callable[[Catalog], Catalog]] = {"text": text_phase, "sentinel": sentinel_phase, "identifiers": identifier_phase, "capitalization": capitalization_phase}
+
+
+def run(catalog: Catalog, phases: tuple[str, ...] = tuple(PHASES), tables: tuple[str, ...] | None = None, mode: str = "run") -> tuple[Catalog, DataFrame | None]:
+    """(catalog, profile): the phases asked for over the tables asked for. mode profile changes nothing, both profiles the catalog as it was."""
+    if mode not in ("profile", "run", "both"):
+        raise ValueError("mode is profile, run or both")
+    if unknown := set(phases) - set(PHASES):
+        raise ValueError(f"no such phase: {sorted(unknown)}")
+    chosen = {n: t for n, t in catalog.items() if tables is None or n in tables}
+    signals = profile(chosen) if mode != "run" else None
+    if mode != "profile":
+        for name, phase in PHASES.items():
+            if name in phases and (name != "capitalization" or "works" in chosen):
+                chosen = phase(chosen)
+    return catalog | chosen, signals

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import capped_ratio, confidence
+from ..scratch import Scratch
 
 
 def subject_scores(venues: DataFrame, venue_subjects: DataFrame, subjects: DataFrame, tiers: DataFrame) -> DataFrame:
@@ -28,26 +29,29 @@ def _people(authorships: DataFrame, publications: DataFrame) -> DataFrame:
     return works.join(authorships.select("work_id", "person_id", "affiliation_id"), "work_id")
 
 
-def authorship_scores(authorships: DataFrame, publications: DataFrame, persons: DataFrame) -> DataFrame:
+def authorship_scores(authorships: DataFrame, publications: DataFrame, persons: DataFrame, people: DataFrame | None = None) -> DataFrame:
     """Share of a venue's authors with an h-index of 5 or more; distinct by a first grouping, not by expanding rows."""
-    pairs = _people(authorships, publications).select("venue_id", "person_id").distinct()
+    people = _people(authorships, publications) if people is None else people
+    pairs = people.select("venue_id", "person_id").distinct()
     rows = pairs.join(persons.select(F.col("id").alias("person_id"), "h_index"), "person_id")
     by = rows.groupBy("venue_id").agg(F.count_if(F.col("h_index") >= 5).alias("x"), F.count(F.lit(1)).alias("n"))
     return by.select("venue_id", F.round(capped_ratio(F.col("x"), F.col("n"), 10.0) * confidence(F.col("n")), 3).alias("authorship_score"))
 
 
-def core_institutions(authorships: DataFrame, publications: DataFrame, venues: DataFrame, most: int = 500) -> DataFrame:
+def core_institutions(authorships: DataFrame, publications: DataFrame, venues: DataFrame, most: int = 500, people: DataFrame | None = None) -> DataFrame:
     """The organisations with most authors in relevant venues; ties go to the lower id."""
     good = venues.where("llm_relevance >= 4").select(F.col("id").alias("venue_id"))
-    rows = _people(authorships, publications).where("affiliation_id is not null").join(good, "venue_id", "left_semi")
+    people = _people(authorships, publications) if people is None else people
+    rows = people.where("affiliation_id is not null").join(good, "venue_id", "left_semi")
     by = rows.select("affiliation_id", "person_id").distinct().groupBy("affiliation_id").agg(F.count(F.lit(1)).alias("n"))
     return by.orderBy(F.desc("n"), "affiliation_id").limit(most).select("affiliation_id")
 
 
-def affiliation_scores(authorships: DataFrame, publications: DataFrame, venues: DataFrame) -> DataFrame:
+def affiliation_scores(authorships: DataFrame, publications: DataFrame, venues: DataFrame, people: DataFrame | None = None) -> DataFrame:
     """Share of authors with an affiliation that come from core institutions; at most 500 of those, so they are broadcast."""
-    core = F.broadcast(core_institutions(authorships, publications, venues).withColumn("core", F.lit(1)))
-    rows = _people(authorships, publications).join(core, "affiliation_id", "left")
+    people = _people(authorships, publications) if people is None else people
+    core = F.broadcast(core_institutions(authorships, publications, venues, people=people).withColumn("core", F.lit(1)))
+    rows = people.join(core, "affiliation_id", "left")
     flags = rows.groupBy("venue_id", "person_id").agg(F.max("core").alias("core"), F.max(F.col("affiliation_id").isNotNull()).alias("placed"))
     by = flags.groupBy("venue_id").agg(F.count("core").alias("x"), F.count_if("placed").alias("n"), F.count(F.lit(1)).alias("all"))
     return by.select("venue_id", F.round(capped_ratio(F.col("x"), F.col("n"), 15.0) * confidence(F.col("all")), 3).alias("affiliation_score"))
@@ -64,9 +68,11 @@ def citation_scores(references: DataFrame, publications: DataFrame, scores: Data
 
 
 def rank(venues, venue_subjects, subjects, tiers, authorships, publications, persons, references) -> DataFrame:
-    """All components and the total of every venue."""
-    subject = subject_scores(venues, venue_subjects, subjects, tiers)
-    parts = [authorship_scores(authorships, publications, persons), affiliation_scores(authorships, publications, venues), citation_scores(references, publications, subject)]
+    """All components and the total of every venue. Who published where, and the subject scores, which several components read, are written down once."""
+    scratch = Scratch(venues.sparkSession, "ranking")
+    subject = scratch.write(subject_scores(venues, venue_subjects, subjects, tiers), "subject")
+    people = scratch.write(_people(authorships, publications), "people")
+    parts = [authorship_scores(authorships, publications, persons, people), affiliation_scores(authorships, publications, venues, people), citation_scores(references, publications, subject)]
     rows = venues.select(F.col("id").alias("venue_id"), "open_access", "llm_relevance").join(subject, "venue_id")
     for p in parts:
         rows = rows.join(p, "venue_id", "left")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import citations, metrics, resolve, summaries, venues
+from ..functions import text
+from ..operators import citations, cleanup, metrics, resolve, summaries, venues, works
+from ..operators.keys import skip_on_conflict
 from ..sources.records import SCOPUS
-from . import transform
+from . import load_venues, transform
 from .adapters import Tables
 from .registry import over, query, table
 from .stored import cases, rows, rows_sql
@@ -217,3 +219,60 @@ def c1_transform_tables(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+_RANKED = {
+    "path": "'f.csv'", "Sourceid": "CAST(k AS STRING)", "Title": "CASE WHEN k % 3 = 0 THEN 'Stored ' || k ELSE 'New ' || (k % 40) END", "Type": "CASE WHEN k % 2 = 0 THEN 'Journal' ELSE 'Book Series' END",
+    "Issn": "CASE WHEN k % 3 = 1 THEN lpad(CAST(k % 40 AS STRING), 4, '0') || '0003, bad' END", "Publisher": "'House ' || (k % 5)", "Country": "'Iran'", "Categories": "'Cat ' || (k % 4) || ' (Q1)'", "SJR": "'1.234,5'", "`H index`": "CAST(k % 9 AS STRING)", "`Open Access`": "'Yes'",
+}
+
+
+@query(
+    "m41_scimago_load",
+    """WITH r AS (SELECT c_custkey AS k FROM customer WHERE c_custkey > 0), v AS (SELECT k AS id, 'Stored ' || k AS name, 5 AS h FROM r WHERE k % 3 = 0),
+    n AS (SELECT CASE WHEN k % 3 = 1 THEN 'i' || (k % 40) ELSE 'n' || (k % 40) || (k % 2) END AS key, 'New ' || (k % 40) AS name, CASE WHEN k % 3 = 1 THEN right('000' || (k % 40), 4) || '-0003' END AS issn FROM r WHERE k % 3 <> 0)
+    SELECT name, NULL AS issn, 1234.5 AS sjr, CAST(greatest(h, id % 9) AS BIGINT) AS h_index, 'VALIDATED' AS status, 'House ' || (id % 5) AS publisher, 'IR' AS country, 'Cat ' || (id % 4) AS subject FROM v WHERE id % 2 = 0
+    UNION ALL SELECT name, NULL, 9, h, 'PENDING', NULL, NULL, NULL FROM v WHERE id % 2 <> 0
+    UNION ALL SELECT name, issn, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM (SELECT DISTINCT key, name, issn FROM n) UNION ALL SELECT 'Stored ' || k, NULL, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM r WHERE k % 3 = 0 AND k % 2 <> 0""",
+)
+def m41_scimago_load(spark, sf_dir):
+    """Stored venues are journals, so that rows of book series with their names make new ones; a new venue's numbers come from several rows and are left out."""
+    said = table(spark, sf_dir, "customer").where("c_custkey > 0").selectExpr("c_custkey k").selectExpr(*[f"{x} AS {c}" for c, x in _RANKED.items()])
+    schema = "id long, name string, type string, issn string, eissn string, scopus_id string, publisher_id long, country_code string, sjr double, open_access int, h_index long, is_indexed_in_scopus int, validation_status string, last_validated_at string"
+    empty = spark.createDataFrame([], schema)
+    held = table(spark, sf_dir, "customer").where("c_custkey > 0 and c_custkey % 3 = 0").selectExpr("c_custkey id", "concat('Stored ', c_custkey) name", "'JOURNAL' type", "9d sjr", "5L h_index", "'PENDING' validation_status")
+    subjects = spark.createDataFrame([], "id long, term string, vocabulary string, subject_type string, lang string, external_uri string, parent_id long, term_key string")
+    c = {
+        "venues": empty.unionByName(held, allowMissingColumns=True), "organizations": spark.createDataFrame([], "id long, name string, type string"), "subjects": subjects,
+        "venue_subjects": spark.createDataFrame([], "venue_id long, subject_id long, score double, source string"),
+    }
+    out, _ = load_venues.scimago(c, said, F.lit("now"))
+    v = out["venues"].join(out["organizations"].select(F.col("id").alias("publisher_id"), F.col("name").alias("publisher")), "publisher_id", "left")
+    v = v.join(out["venue_subjects"].select(F.col("venue_id").alias("id"), "subject_id").join(out["subjects"].select(F.col("id").alias("subject_id"), F.col("term").alias("subject")), "subject_id"), "id", "left")
+    old = F.col("h_index").isNotNull() & F.col("name").startswith("Stored") & (F.col("type") == "JOURNAL")
+    shown = lambda c: F.when(old, F.col(c)).alias(c)
+    return v.select("name", "issn", "sjr", shown("h_index"), F.col("validation_status").alias("status"), shown("publisher"), F.col("country_code").alias("country"), shown("subject")).distinct()
+
+
+@over("l6_snapshot", """SELECT work_id, role, position, a.person_id, preferred_name, affiliation_id, is_corresponding FROM auths a LEFT JOIN persons ON a.person_id = id""")
+def l6_snapshot(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    flag = F.when(F.col("is_corresponding") == 1, 1)
+    return works.snapshot(t.authorships.withColumn("is_corresponding", flag), t.persons)
+
+
+@query(
+    "g22_column_stats",
+    """WITH n AS (SELECT o_orderkey AS id, 'K' || (o_orderkey % 50) || CASE WHEN o_orderkey % 3 = 0 THEN '.' ELSE '' END AS old FROM orders), m AS (SELECT *, rtrim(old, '.') AS new FROM n), k AS (SELECT *, min(CASE WHEN old <> new THEN id END) OVER (PARTITION BY new) AS first, bool_or(old = new) OVER (PARTITION BY new) AS held FROM m)
+    SELECT count(*) AS scanned, count(*) FILTER (WHERE old <> new) AS changed, count(*) FILTER (WHERE old <> new AND id = first AND NOT held) AS updated, count(*) FILTER (WHERE old <> new AND (id <> first OR held)) AS skipped_integrity, 0 AS skipped_empty FROM k""",
+)
+def g22_column_stats(spark, sf_dir):
+    before = table(spark, sf_dir, "orders").selectExpr("o_orderkey id", "concat('K', o_orderkey % 50, case when o_orderkey % 3 = 0 then '.' else '' end) k")
+    new = F.regexp_replace("k", r"\.$", "")
+    return cleanup.column_stats(before, new, skip_on_conflict(before, "k", new, "id"), "k")
+
+
+@query("f34_abstracts", "SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN 'the w' || o_orderkey || ' the  end' WHEN 1 THEN '  late' END AS abstract FROM orders")
+def f34_abstracts(spark, sf_dir):
+    index = F.expr("case o_orderkey % 3 when 0 then map('the', array(2, 0), concat('w', o_orderkey), array(1), 'end', array(4)) when 1 then map('early', array(2), 'late', array(2)) end")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), text.abstract_of_index(index).alias("abstract"))
