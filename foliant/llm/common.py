@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
-import uuid
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from ..scratch import Scratch
 from ..ship import to_workers
 
+__all__ = ["SPACE", "Scratch", "bound_batches", "columns_of", "id_and_text", "let", "map_arrow", "quoted", "records", "table", "whole_row"]
+
 #: ASCII white space, as every contract on words and lines has it.
 SPACE = r"[\x20\x09-\x0D]"
 #: Bytes of one Arrow batch sent to a Python worker; bounds a worker's memory whatever the row length.
@@ -58,11 +57,6 @@ def records(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[x.name], x.type) for x in schema], schema=schema)
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with value computed once, as the bound variable of a one-element array."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -76,53 +70,3 @@ def columns_of(docs: DataFrame, **new: Column) -> list[Column]:
     """The columns of docs out of whole_row() in their order, those named in new replaced; the other new ones follow."""
     own = [new[c].alias(c) if c in new else F.col(f"row.{quoted(c)}") for c in docs.columns]
     return own + [v.alias(c) for c, v in new.items() if c not in docs.columns]
-
-
-@lru_cache(maxsize=None)
-def _local_folder() -> str:
-    """One folder a driver process, removed at its end."""
-    path = tempfile.mkdtemp(prefix="foliant-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return f"file://{path}"
-
-
-class Scratch:
-    """Tables written once to the folder that all executors share, so that losing executors costs no recomputation.
-
-    The folder is spark.checkpoint.dir of the session. Where that is unset, a local session, whose executors are
-    threads of the driver, gets a folder of its own; on a cluster it is an error, as executors have no common disk.
-    Tables are deleted by drop() or else when the session ends.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            found, master = spark.sparkContext._jsc.sc().getCheckpointDir(), spark.sparkContext.master
-            if found.isDefined():
-                base = found.get()
-            elif master == "local" or master.startswith("local["):
-                base = _local_folder()
-            else:
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        self.base = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        path, fs = self._at(self.base)
-        fs.mkdirs(path)
-        fs.deleteOnExit(path)
-
-    def _at(self, where: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def path(self, name: str) -> str:
-        return f"{self.base}/{name}"
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
-
-    def drop(self, *names: str) -> None:
-        """Delete tables that no later plan reads (all of them without a name)."""
-        for name in names or [""]:
-            path, fs = self._at(self.path(name) if name else self.base)
-            fs.delete(path, True)
