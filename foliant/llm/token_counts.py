@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, id_and_text, map_arrow, records
-from .tokens import CACHE, PieceScores, piece_scores, pieces_of, rank_logs, vocabulary
+from .tokens import PieceScores, piece_scores, pieces_of, rank_logs, vocabulary
 
 VOCABULARY = "piece_bpe_32k.model"
 START = "\u2581"
-#: Rounds of fitting.
-ROUNDS = 3
+#: Rounds of fitting; words that a worker holds at once.
+ROUNDS, HELD = 3, 400_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -81,7 +81,7 @@ def _words(batches):
     for b in batches:
         for text in b.column("text").to_pylist():
             counts.update(_WORD.findall(text))
-        if len(counts) > CACHE:
+        if len(counts) > HELD:
             yield records(schema, {"word": list(counts), "c": list(counts.values())})
             counts = Counter()
     yield records(schema, {"word": list(counts), "c": list(counts.values())})
@@ -92,7 +92,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: s
     path = path or vocabulary(VOCABULARY)
     scratch = Scratch(docs.sparkSession, "tokens")
     words = map_arrow(id_and_text(docs, id_col, text_col), _words, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
-    words = scratch.write(words, "words")
+    # Sorted, so that neighbours share their prefixes, whatever batches they come in.
+    words = scratch.write(words.sortWithinPartitions("word"), "words")
     logs, schema = rank_logs(len(pieces_of(path))), pa.schema([("piece", pa.int32()), ("c", pa.float64())])
 
     def expect(now: bytes):
@@ -124,12 +125,13 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches):
-        model, known = piece_scores(path, fitted), {}
+        model = piece_scores(path, fitted)
+        known = model.counts
         for b in batches:
             texts = [_WORD.findall(t) for t in b.column("text").to_pylist()]
             new = {w for words in texts for w in words if w not in known}
             fresh = {w[1:]: n for w, n in trie_counts([START + w for w in new], model).items()}
-            if len(known) < CACHE:
+            if len(known) < HELD:
                 known.update(fresh)
             counts = [sum([known[w] if w in known else fresh[w] for w in words]) for words in texts]
             yield records(schema, {"doc_id": b.column("doc_id"), "n_words": [len(x) for x in texts], "n_tokens": counts})
