@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries of a worker's cache; common runs come first and stay, later rare ones are encoded anew.
-CACHE = 150_000
+CACHE = 300_000
 #: Unicode White_Space, the \s of the libraries' regular expressions.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -174,6 +174,8 @@ class PieceScores:
         self.place = {p: k for k, p in enumerate(pieces)}
         #: A character outside the vocabulary costs one token a byte, each less likely than any piece.
         self.byte = float(logs.min()) - 10.0
+        #: Token counts of words met before, up to a bound; a worker keeps them from task to task.
+        self.counts: dict[str, int] = {}
         self.back: dict = {}
         for piece, s in self.scores.items():
             node = self.back
