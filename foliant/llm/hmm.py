@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from .common import Scratch, id_and_text, map_arrow
 
 #: Symbols of single words, symbols of classes, latent states, rounds of Baum-Welch at most, gain a token below which it ends.
-HEAD, CLASSES, STATES, ROUNDS, SETTLED = 8192, 256, 8, 6, 5e-4
+HEAD, CLASSES, STATES, ROUNDS, SETTLED = 8192, 256, 8, 5, 5e-4
 #: Words whose counts are sent to every task: at most so many, of at most WORD_BYTES bytes each.
 KNOWN, WORD_BYTES = 50_000, 64
 #: Words seen more rarely stay in their class, so that classes know how rare words behave.
 LEAST = 3
-#: Tokens of a block of a long text; cells of a grid of tokens worked on at once.
-BLOCK, AT_ONCE = 256, 200_000
+#: Tokens of a block of a long text; how many blocks make a text long; cells of a grid of tokens worked on at once.
+BLOCK, LONG, AT_ONCE = 256, 16, 400_000
 #: Weight of the unigram in each state's emissions, in tokens; smoothing of transitions.
 PRIOR, STICK = 50.0, 0.9
 END = b""
@@ -125,8 +125,9 @@ def _portions(seqs: list[np.ndarray]):
 
 def _cut(seqs: list[np.ndarray]) -> tuple[list[np.ndarray], list[tuple[int, int]]]:
     """Blocks of the sequences, and (sequence, place) of each: short ones whole, long ones in pieces of BLOCK tokens."""
-    at = [(k, i) for k, x in enumerate(seqs) for i in range(0, len(x), BLOCK if len(x) > 4 * BLOCK else len(x))]
-    return [seqs[k][i : i + BLOCK] if len(seqs[k]) > 4 * BLOCK else seqs[k] for k, i in at], at
+    long = lambda x: len(x) > LONG * BLOCK
+    at = [(k, i) for k, x in enumerate(seqs) for i in range(0, len(x), BLOCK if long(x) else len(x))]
+    return [seqs[k][i : i + BLOCK] if long(seqs[k]) else seqs[k] for k, i in at], at
 
 
 def _transfer(blocks: list[np.ndarray], first: list[bool], start, move, emit):
@@ -382,7 +383,7 @@ def train(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
         total, n = found.get(-2 - states, np.zeros(2))[:2]
         if n == 0:
             break
-        model.gains.append(total / n)
+        model.gains.append(float(total / n))
         model.start, model.move, model.emit = improved(found, states, unigram)
         if len(model.gains) > 1 and model.gains[-1] - model.gains[-2] < SETTLED:
             break

@@ -246,7 +246,7 @@ def test_hilbert_neighbours():
 def test_hmm_against_brute_force(spark, docs, odd, empty, monkeypatch):
     rng = np.random.default_rng(1)
     start, move, emit = rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 7, 3).T.copy()
-    seqs = [rng.integers(0, 7, n) for n in (1, 2, 5, 1500, 3000)]
+    seqs = [rng.integers(0, 7, n) for n in (1, 2, 5, 1500, 5000)]
 
     def plain(x):
         a, total = start * emit[x[0]], 0.0
