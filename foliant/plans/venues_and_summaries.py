@@ -29,7 +29,7 @@ def _scopus(spark, sf_dir):
     "m23_scopus_entries",
     """SELECT c_custkey AS fallback_id, 'Journal ' || c_custkey AS name, 'House ' || (c_custkey % 9) AS publisher, CASE c_custkey % 3 WHEN 0 THEN 'JOURNAL' WHEN 1 THEN 'OTHER' ELSE 'BOOK_SERIES' END AS type,
     CASE c_custkey % 3 WHEN 0 THEN 'journal' WHEN 1 THEN 'trade journal' ELSE 'bookseries' END AS aggregation_type, '' || c_custkey AS scopus_id, CASE WHEN length('' || c_custkey) <= 4 THEN right('000' || c_custkey, 4) || '-0007' ELSE NULL END AS issn,
-    CASE WHEN c_custkey % 4 = 0 THEN 'http://u/' || c_custkey WHEN c_custkey % 3 = 0 THEN 'http://h' ELSE 'http://s' END AS homepage_url, c_custkey % 2 AS open_access, CASE WHEN c_custkey % 2 = 0 THEN 1 END AS is_in_doaj,
+    CASE WHEN c_custkey % 4 = 0 THEN 'http://u/' || c_custkey WHEN c_custkey % 3 = 0 THEN 'http://h' ELSE 'http://s' END AS homepage_url, CAST(c_custkey % 2 AS INTEGER) AS open_access, CASE WHEN c_custkey % 2 = 0 THEN 1 END AS is_in_doaj,
     CAST(c_custkey AS DOUBLE) AS citescore, 1.25::DOUBLE AS sjr FROM customer WHERE c_custkey < 10000""",
 )
 def m23_scopus_entries(spark, sf_dir):
@@ -47,7 +47,7 @@ _HELD = {
     "m23_scopus_update",
     """SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 1 AND c_custkey % 5 <> 0 THEN 'Own ' || c_custkey WHEN c_custkey % 2 = 1 THEN ' ' WHEN c_custkey % 5 = 0 THEN 'Journal ' || c_custkey ELSE 'Own ' || c_custkey END AS name,
     CASE WHEN c_custkey % 2 = 0 AND c_custkey % 3 = 0 THEN 'JOURNAL' WHEN c_custkey % 2 = 0 AND c_custkey % 3 = 2 THEN 'BOOK_SERIES' ELSE 'OTHER' END AS type, CASE WHEN c_custkey % 2 = 0 THEN '9999-0000' END AS issn,
-    CASE WHEN c_custkey % 2 = 0 THEN 1.25 ELSE 9 END AS sjr, CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS citescore, CASE WHEN c_custkey % 2 = 0 THEN 'VALIDATED' ELSE 'FAILED' END AS validation_status,
+    CAST(CASE WHEN c_custkey % 2 = 0 THEN 1.25 ELSE 9 END AS DOUBLE) AS sjr, CAST(CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS DOUBLE) AS citescore, CASE WHEN c_custkey % 2 = 0 THEN 'VALIDATED' ELSE 'FAILED' END AS validation_status,
     CASE WHEN c_custkey % 2 = 0 THEN 'now' END AS last_validated_at FROM customer""",
 )
 def m23_scopus_update(spark, sf_dir):
@@ -87,7 +87,7 @@ def m19_merge_by_map(spark, sf_dir):
     r AS (SELECT c_custkey AS venue_id, 'cat ' || (c_custkey % 30) AS key, CASE c_custkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 WHEN 2 THEN NULL ELSE 0.25 END AS score FROM customer),
     n AS (SELECT key, (SELECT max(id) FROM s) + row_number() OVER (ORDER BY key) AS id FROM (SELECT DISTINCT key FROM r WHERE key NOT IN (SELECT key FROM s))), a AS (SELECT key, min(id) AS id FROM (SELECT key, id FROM s UNION ALL SELECT key, id FROM n) GROUP BY 1),
     l AS (SELECT venue_id, id AS subject_id, score FROM r JOIN a USING (key)), e AS (SELECT c_custkey AS venue_id, c_custkey % 30 AS subject_id, 0.6 AS score FROM customer WHERE c_custkey % 30 BETWEEN 1 AND 19 AND c_custkey % 2 = 0)
-    SELECT coalesce(l.venue_id, e.venue_id) AS venue_id, coalesce(l.subject_id, e.subject_id) AS subject_id, CASE WHEN l.venue_id IS NOT NULL AND e.venue_id IS NOT NULL THEN greatest(0.6, coalesce(l.score, 0)) ELSE coalesce(l.score, e.score) END AS score,
+    SELECT coalesce(l.venue_id, e.venue_id) AS venue_id, coalesce(l.subject_id, e.subject_id) AS subject_id, CAST(CASE WHEN l.venue_id IS NOT NULL AND e.venue_id IS NOT NULL THEN greatest(0.6, coalesce(l.score, 0)) ELSE coalesce(l.score, e.score) END AS DOUBLE) AS score,
     CASE WHEN l.venue_id IS NULL THEN 'old' ELSE 'scimago' END AS source FROM l FULL JOIN e ON l.venue_id = e.venue_id AND l.subject_id = e.subject_id""",
 )
 def m40_category_links(spark, sf_dir):
@@ -231,7 +231,7 @@ _RANKED = {
     "m41_scimago_load",
     """WITH r AS (SELECT c_custkey AS k FROM customer WHERE c_custkey > 0), v AS (SELECT k AS id, 'Stored ' || k AS name, 5 AS h FROM r WHERE k % 3 = 0),
     n AS (SELECT CASE WHEN k % 3 = 1 THEN 'i' || (k % 40) ELSE 'n' || (k % 40) || (k % 2) END AS key, 'New ' || (k % 40) AS name, CASE WHEN k % 3 = 1 THEN right('000' || (k % 40), 4) || '-0003' END AS issn FROM r WHERE k % 3 <> 0)
-    SELECT name, NULL AS issn, 1234.5 AS sjr, CAST(greatest(h, id % 9) AS BIGINT) AS h_index, 'VALIDATED' AS status, 'House ' || (id % 5) AS publisher, 'IR' AS country, 'Cat ' || (id % 4) AS subject FROM v WHERE id % 2 = 0
+    SELECT name, NULL AS issn, 1234.5::DOUBLE AS sjr, CAST(greatest(h, id % 9) AS BIGINT) AS h_index, 'VALIDATED' AS status, 'House ' || (id % 5) AS publisher, 'IR' AS country, 'Cat ' || (id % 4) AS subject FROM v WHERE id % 2 = 0
     UNION ALL SELECT name, NULL, 9, h, 'PENDING', NULL, NULL, NULL FROM v WHERE id % 2 <> 0
     UNION ALL SELECT name, issn, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM (SELECT DISTINCT key, name, issn FROM n) UNION ALL SELECT 'Stored ' || k, NULL, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM r WHERE k % 3 = 0 AND k % 2 <> 0""",
 )
@@ -264,7 +264,7 @@ def l6_snapshot(spark, sf_dir):
 @query(
     "g22_column_stats",
     """WITH n AS (SELECT o_orderkey AS id, 'K' || (o_orderkey % 50) || CASE WHEN o_orderkey % 3 = 0 THEN '.' ELSE '' END AS old FROM orders), m AS (SELECT *, rtrim(old, '.') AS new FROM n), k AS (SELECT *, min(CASE WHEN old <> new THEN id END) OVER (PARTITION BY new) AS first, bool_or(old = new) OVER (PARTITION BY new) AS held FROM m)
-    SELECT count(*) AS scanned, count(*) FILTER (WHERE old <> new) AS changed, count(*) FILTER (WHERE old <> new AND id = first AND NOT held) AS updated, count(*) FILTER (WHERE old <> new AND (id <> first OR held)) AS skipped_integrity, 0 AS skipped_empty FROM k""",
+    SELECT count(*) AS scanned, count(*) FILTER (WHERE old <> new) AS changed, count(*) FILTER (WHERE old <> new AND id = first AND NOT held) AS updated, count(*) FILTER (WHERE old <> new AND (id <> first OR held)) AS skipped_integrity, CAST(0 AS BIGINT) AS skipped_empty FROM k""",
 )
 def g22_column_stats(spark, sf_dir):
     before = table(spark, sf_dir, "orders").selectExpr("o_orderkey id", "concat('K', o_orderkey % 50, case when o_orderkey % 3 = 0 then '.' else '' end) k")
