@@ -10,10 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-
-def let(value: Column, body) -> Column:
-    """body(value) with value computed once, as the bound variable of a one-element array; keeps long expressions from multiplying."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+from .bound import let
 
 
 def nothing_if_blank(s: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import let, stripped
+from .bound import let
+from .text import stripped
 
 
 def date_of_parts(parts: Column) -> Column:
