@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import let
+from ..functions.bound import let
 from ..scratch import Scratch
 from ..ship import to_workers
 
