@@ -17,13 +17,6 @@ def nothing_if_blank(s: Column) -> Column:
     return F.when(F.trim(s) != "", s)
 
 
-def unescape_common(s: Column) -> Column:
-    """The five XML entities and the non-breaking space, natively."""
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        s = F.replace(s, F.lit(entity), F.lit(char))
-    return s
-
-
 @F.pandas_udf(StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """all HTML entities."""
