@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, hmm, line_dedup, media, ngram_join, packing, pii, quality, secrets, sql, token_counts
+from . import bpe, filter_audit, hmm, lexical, line_dedup, media, ngram_join, packing, pii, quality, secrets, sql, suffix_dedup, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -69,4 +69,22 @@ def op10_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    n_removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed")
+    return found.select("doc_id", "n_bytes", n_removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES |= {"op12_filter_audit": sql.FILTER_AUDIT, "op13_lexical_search": sql.LEXICAL_SEARCH}
 ORACLES |= {"op2_quality_rules": sql.quality_rules(), "op8_line_dedup": sql.LINE_DEDUP}

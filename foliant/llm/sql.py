@@ -18,6 +18,51 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT)
 FROM j GROUP BY doc_id
 """
 
+#: Documents by part, the filters they fail and their labels, then every order of the five letters over those counts.
+FILTER_AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, [x FOR x IN string_split_regex(text, '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+l AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+             len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+             100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text) AS c,
+             regexp_matches(text, '[#$%&*|]') AS d, coalesce(least < w.doc_id, false) AS e
+      FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, good, toxic, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n FROM f GROUP BY ALL),
+k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT k1.name || k2.name || k3.name || k4.name || k5.name AS filter_order, [k1.bit, k2.bit, k3.bit, k4.bit, k5.bit] AS bits
+      FROM k k1, k k2, k k3, k k4, k k5 WHERE k1.bit | k2.bit | k3.bit | k4.bit | k5.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, CAST(list_sum(bits[1:step]) AS INT) - bits[step] AS before FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, bit,
+             sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN mask & before = 0 AND mask & bit > 0 AND good THEN n ELSE 0 END) AS good_lost,
+             sum(CASE WHEN mask & before = 0 AND mask & bit > 0 AND toxic THEN n ELSE 0 END) AS toxic_lost
+      FROM m, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
+LEXICAL_SEARCH = f"""
+WITH pattern AS (SELECT '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+' AS p),
+t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), (SELECT p FROM pattern))) AS term FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), (SELECT p FROM pattern))) AS term FROM benchmark),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+p AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)) AS impact FROM tf JOIN d USING (doc_id), c),
+a AS (SELECT item_id, term, count(*) * w AS w FROM q JOIN w USING (term) GROUP BY item_id, term, w),
+s AS (SELECT item_id, doc_id, CAST(sum(w * impact) AS BIGINT) AS score FROM a JOIN p USING (term) GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 
 def quality_rules() -> str:
     share, level = ALPHA / len(RULES), f"({DELTA} / ({len(RULES)} * n_strata))"
