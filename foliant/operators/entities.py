@@ -1,12 +1,13 @@
 """Entities that records name: found by a ladder of keys, created where none matches, their gaps filled.
 
-Records and stored rows meet in a few joins, whatever their number. A record takes the best match among stored rows. Those without
-one are grouped by their first key; a group that is known by its last key alone joins the new entity of the least key that
-shares it. New ids follow the greatest stored one, by key.
+Records and stored rows meet in a few joins, whatever their number. A record takes the best match among stored rows; what it
+fills there is matched again, until no record finds more. Of the rest those connected by any of their keys, directly or by way
+of others, are one new entity. New ids follow the greatest stored one, by key.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import identifiers, text
 from ..scratch import Scratch
+from .identity import connected
 from .keys import new_ids
 from .resolve import ladder
 
@@ -21,38 +23,48 @@ Rung = tuple[str, Column, Column]
 
 
 def get_or_create(
-    existing: DataFrame, records: DataFrame, rid: str, rungs: list[Rung], columns: dict[str, Column], fill: tuple[str, ...] = (), unique: tuple[str, ...] = (), creatable: Column | None = None, create: bool = True
-) -> tuple[DataFrame, DataFrame]:
+    existing: DataFrame, records: DataFrame, rid: str, rungs: list[Rung], columns: dict[str, Column], fill: tuple[str, ...] = (), unique: tuple[str, ...] = (), creatable: Column | None = None, create: bool = True,
+    match: Callable[[DataFrame, DataFrame], DataFrame] | None = None, same: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(entities, links): links has rid and id of every record that has an entity.
 
     A rung is a name, the key of a record and that of a stored row, in falling order. columns gives what a record says of its
     entity; of a new one each column has the first value by rid, of a stored one those of fill are filled where it has none. A
-    value of unique that another entity has, or a lesser id takes on, is not taken. A group none of whose records is creatable has no
-    entity, and neither have records without a key. With
+    value of unique that another entity has, or a lesser id takes on, is not taken. Records without a match are one entity if they
+    share a key of any rung; same gives other keys for that. An entity none of whose records is creatable isn't made, nor
+    is one without a key. match, of records and stored rows, is used in place of the ladder of the rungs. With
     create off nothing is made or filled: the read-only ladder.
     """
-    matched = ladder(records, existing, rid, "id", rungs).select(rid, "id")
+    match = match or (lambda some, stored: ladder(some, stored, rid, "id", rungs))
     if not create:
-        return existing, matched
+        return existing, match(records, existing).select(rid, "id")
     scratch = Scratch(records.sparkSession, "entities")
-    said = records.select(rid, *[v.alias(c) for c, v in columns.items()], *[k.cast("string").alias(f"__k{i}") for i, (_, k, _) in enumerate(rungs)], (F.lit(True) if creatable is None else creatable).alias("__may"))
-    said = scratch.write(said.join(matched, rid, "left"), "said")
-    last = len(rungs) - 1
-    key = F.coalesce(*[F.concat(F.lit(f"{i}:"), F.col(f"__k{i}")) for i in range(len(rungs))])
-    rest = said.where(F.col("id").isNull()).withColumn("__key", key).where("__key is not null").drop("id")
-    if last:
-        homes = rest.where(~F.col("__key").startswith(f"{last}:") & F.col(f"__k{last}").isNotNull())
-        homes = homes.groupBy(F.concat(F.lit(f"{last}:"), F.col(f"__k{last}")).alias("__key")).agg(F.min("__key").alias("__home"))
-        rest = rest.join(homes, "__key", "left").withColumn("__key", F.coalesce("__home", "__key")).drop("__home")
+    keys = [k.cast("string") for _, k, _ in rungs]
+    first_key = F.coalesce(*[F.concat(F.lit(f"{i}:"), k) for i, k in enumerate(keys)])
+    own = F.array(*[F.concat(F.lit(f"{i}:"), k) for i, k in enumerate(keys)]) if same is None else same
+    said = records.withColumns({"__key": first_key, "__same": own, "__may": F.lit(True) if creatable is None else creatable})
+    rest, entities, links = scratch.write(said, "said"), existing, None
     first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(rid))).alias(c)
-    groups = rest.groupBy("__key").agg(*[first(c) for c in columns], F.max(F.coalesce("__may", F.lit(False))).alias("__may")).where("__may").drop("__may")
-    made = new_ids(existing, "id", groups, "__key")
-    made = scratch.write(made, "made")
-    links = said.where("id is not null").select(rid, "id").unionByName(rest.select(rid, "__key").join(made.select("__key", "id"), "__key").select(rid, "id"))
-    entities = existing
-    if fill:
-        given = said.where("id is not null").groupBy("id").agg(*[first(c) for c in fill])
-        entities = filled(existing, given, fill, unique)
+    says = [rid, *[v.alias(c) for c, v in columns.items()]]
+    # What a match fills can be the key of another record; where nothing is filled one round says it all.
+    round_ = 0
+    while True:
+        found = scratch.write(match(rest, entities).select(rid, "id"), f"found-{round_}")
+        links = found if links is None else links.unionByName(found)
+        if fill:
+            given = rest.select(*says).join(found, rid).groupBy("id").agg(*[first(c) for c in fill])
+            entities = filled(entities, given, fill, unique)
+        rest = rest.join(found, rid, "left_anti")
+        if not fill or found.isEmpty():
+            break
+        entities, rest = scratch.write(entities, f"entities-{round_}"), scratch.write(rest, f"rest-{round_}")
+        round_ += 1
+    rest = scratch.write(rest.where("__key is not null").select(*says, "__key", "__same", "__may"), "rest")
+    roots = connected(rest, rid, F.col("__same"))
+    rest = scratch.write(rest.drop("__same").join(roots, rid), "rooted")
+    groups = rest.groupBy("root").agg(*[first(c) for c in columns], F.min("__key").alias("__key"), F.max(F.coalesce("__may", F.lit(False))).alias("__may")).where("__may").drop("__may")
+    made = scratch.write(new_ids(existing, "id", groups, "__key"), "made")
+    links = links.unionByName(rest.select(rid, "root").join(made.select("root", "id"), "root").select(rid, "id"))
     types = dict(existing.dtypes)
     new = made.select("id", *[F.col(c).cast(types[c]).alias(c) for c in columns if c in types])
     return entities.unionByName(new, allowMissingColumns=True).select(*existing.columns), links
@@ -101,29 +113,48 @@ def organizations(existing: DataFrame, records: DataFrame, rid: str = "rid", cre
     return get_or_create(existing, rows, rid, rungs, columns, (*numbers, "url", "country_code"), tuple(numbers), F.col("name").isNotNull(), create)
 
 
-def _issn_keys(rows: DataFrame, rid: str, columns: tuple[str, ...]) -> DataFrame:
-    compact = lambda c: F.upper(F.regexp_replace(F.col(c), r"[\s-]", ""))
-    return rows.select(rid, F.explode(F.array(*map(compact, columns))).alias("key")).where("key <> ''").distinct()
+def issn_keys(rows: DataFrame, rid: str, columns: tuple[str, ...] = ("issn", "eissn")) -> DataFrame:
+    """rid, key: every ISSN of a row, in whichever column, hyphens aside."""
+    return rows.select(rid, F.explode(F.array(*[compact_issn(F.col(c)) for c in columns])).alias("key")).where("key <> ''").distinct()
+
+
+def compact_issn(c: Column) -> Column:
+    return F.upper(F.regexp_replace(c, r"[\s-]", ""))
+
+
+def venue_ladder(rows: DataFrame, stored: DataFrame, rid: str, rungs: list[Rung], issn_at: int = 0, issns: Column | None = None) -> DataFrame:
+    """rid, id, rung as of ladder(), with the match of an ISSN, of either kind in either column, as rung issn_at. issns: a record's ISSNs, if not those of its two columns."""
+    theirs = issn_keys(stored, "id").groupBy("key").agg(F.min("id").alias("id"))
+    mine = issn_keys(rows, rid) if issns is None else rows.select(rid, F.explode(F.transform(issns, compact_issn)).alias("key")).where("key <> ''").distinct()
+    by_issn = mine.join(theirs, "key").groupBy(rid).agg(F.min("id").alias("__issn_id"))
+    issn = ("issn", F.col("__issn_id"), F.col("id"))
+    return ladder(rows.join(by_issn, rid, "left"), stored, rid, "id", [*rungs[:issn_at], issn, *rungs[issn_at:]])
+
+
+def venue_keys(*numbers: str) -> Column:
+    """What makes records one venue: an ISSN of either kind, one of the numbers, or name and type."""
+    issns = [F.concat(F.lit("issn:"), F.nullif(compact_issn(F.col(c)), F.lit(""))) for c in ("issn", "eissn")]
+    named = F.when(F.trim("name") != "", F.concat_ws("\x1f", F.lit("name:"), F.lower(F.trim("name")), "type"))
+    return F.array(*issns, *[F.concat(F.lit(f"{n}:"), F.lower(F.nullif(F.trim(F.col(n).cast("string")), F.lit("")))) for n in numbers], named)
 
 
 def venues(existing: DataFrame, records: DataFrame, rid: str = "rid") -> tuple[DataFrame, DataFrame]:
-    """By OpenAlex number, then by either ISSN in either column, then by name and type. records: rid, name, type, issn, eissn, openalex_id.
+    """By OpenAlex number, then by either ISSN in either column, then by name and type. records: rid, name, type, issn, eissn, openalex_id.
 
-    New venues that share an ISSN, in whichever column, are one.
+    New venues that share a number or an ISSN, in whichever column, are one, and so are those of one name and type.
     """
     rows = records.select(rid, _clean(F.col("name"), 512).alias("name"), "type", identifiers.issn(F.col("issn")).alias("issn"), identifiers.issn(F.col("eissn")).alias("eissn"), identifiers.last_segment(F.col("openalex_id")).alias("openalex_id"))
-    theirs = _issn_keys(existing, "id", ("issn", "eissn")).groupBy("key").agg(F.min("id").alias("id"))
-    mine = _issn_keys(rows, rid, ("issn", "eissn"))
-    by_issn = mine.join(theirs, "key").groupBy(rid).agg(F.min("id").alias("__issn_id"))
+    mine = issn_keys(rows, rid)
     shared = mine.groupBy("key").agg(F.min(rid).alias("__first"))
-    least = mine.join(shared, "key").groupBy(rid).agg(F.min("__first").alias("__first"))
-    rows = rows.join(by_issn, rid, "left").join(least, rid, "left")
-    # A stored match stands as its own key; records without one stand for the least record with an ISSN of theirs.
-    own = F.when(F.col("__issn_id").isNotNull(), F.concat(F.lit("v"), F.col("__issn_id").cast("string"))).otherwise(F.concat(F.lit("r"), F.col("__first").cast("string")))
+    rows = rows.join(mine.join(shared, "key").groupBy(rid).agg(F.min("__first").alias("__first")), rid, "left")
     by_name = F.when(F.col("name").isNotNull(), F.concat_ws("\x1f", F.lower("name"), "type"))
-    rungs: list[Rung] = [("openalex_id", F.col("openalex_id"), F.col("openalex_id")), ("issn", own, F.concat(F.lit("v"), F.col("id").cast("string"))), ("name", by_name, by_name)]
+    rungs: list[Rung] = [("openalex_id", F.col("openalex_id"), F.col("openalex_id")), ("name", by_name, by_name)]
+    # New ids go by OpenAlex number, then by the first record of an ISSN, then by name.
+    order = [rungs[0], ("issn", F.concat(F.lit("r"), F.col("__first").cast("string")), F.lit(None).cast("string")), rungs[1]]
     columns = {c: F.col(c) for c in ("name", "type", "issn", "eissn", "openalex_id")}
-    return get_or_create(existing, rows, rid, rungs, columns, ("issn", "eissn", "openalex_id"), ("issn", "eissn", "openalex_id"), F.col("name").isNotNull())
+    match = lambda some, stored: venue_ladder(some, stored, rid, rungs, 1)
+    filled_ = ("issn", "eissn", "openalex_id")
+    return get_or_create(existing, rows, rid, order, columns, filled_, filled_, F.col("name").isNotNull(), match=match, same=venue_keys("openalex_id"))
 
 
 def keywords(existing: DataFrame, records: DataFrame, rid: str = "rid") -> tuple[DataFrame, DataFrame]:
@@ -134,21 +165,45 @@ def keywords(existing: DataFrame, records: DataFrame, rid: str = "rid") -> tuple
     return get_or_create(existing, rows, rid, [("term", F.col("term_key"), own)], columns)
 
 
-def subjects(existing: DataFrame, records: DataFrame, vocabulary: str, subject_type: str, rid: str = "rid", fallback: tuple[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+def subjects(existing: DataFrame, records: DataFrame, vocabulary: str, subject_type: str, rid: str = "rid", fallback: tuple[str, str] | None = None, complete: bool = False) -> tuple[DataFrame, DataFrame]:
     """Subjects (rid, term, external_uri, parent_id) by their address, then by the key of their term within vocabulary and type,
-    then among those of fallback; new ones, in English, take the parent given, and stored ones found by their address that have none."""
+    then among those of fallback; new ones, in English, take the parent given, and stored ones found by their address that have none.
+    complete: stored ones found by their term take a missing address and parent, too."""
     rows = records.select(rid, "external_uri", "parent_id", F.left(text.stripped(F.col("term")), F.lit(255)).alias("term")).withColumn("term_key", F.left(text.term_key(F.col("term")), F.lit(255))).where("term_key <> ''")
     within = lambda v, t: F.when((F.col("vocabulary") == v) & (F.col("subject_type") == t), F.col("term_key"))
     rungs: list[Rung] = [("address", F.col("external_uri"), F.col("external_uri")), ("term", F.col("term_key"), within(vocabulary, subject_type))]
     if fallback:
         rungs.append(("fallback", F.col("term_key"), within(*fallback)))
     columns = {"term": F.col("term"), "vocabulary": F.lit(vocabulary), "subject_type": F.lit(subject_type), "lang": F.lit("en"), "external_uri": F.col("external_uri"), "parent_id": F.col("parent_id"), "term_key": F.col("term_key")}
-    everyone, links = get_or_create(existing, rows, rid, rungs, columns)
-    adopted = rows.where("parent_id is not null and external_uri is not null").groupBy("external_uri").agg(F.min("parent_id").alias("__parent"))
-    stored = everyone.join(existing.select("id", F.lit(True).alias("__old")), "id", "left").join(adopted, "external_uri", "left")
+    address = ("external_uri",) if complete else ()
+    everyone, links = get_or_create(existing, rows, rid, rungs, columns, address, address)
+    if complete:
+        parents = rows.where("parent_id is not null").join(links, rid).groupBy("id").agg(F.min("parent_id").alias("__parent"))
+        stored = everyone.join(existing.select("id", F.lit(True).alias("__old")), "id", "left").join(parents, "id", "left")
+    else:
+        adopted = rows.where("parent_id is not null and external_uri is not null").groupBy("external_uri").agg(F.min("parent_id").alias("__parent"))
+        stored = everyone.join(existing.select("id", F.lit(True).alias("__old")), "id", "left").join(adopted, "external_uri", "left")
     return stored.withColumn("parent_id", F.when(F.col("__old"), F.coalesce("parent_id", "__parent")).otherwise(F.col("parent_id"))).select(*existing.columns), links
 
 
+def hierarchy(existing: DataFrame, nodes: DataFrame, vocabulary: str, kinds: tuple[str, ...], complete: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(subjects, external_uri and id of the nodes of the last kind) of trees as deep as kinds, from the top down.
+
+    nodes: rid, i, level (one of kinds), external_uri, term, parent_uri; a parent is resolved before its children, and one that a
+    level lacks is no parent. Of an address given twice the first term by rid and i counts.
+    """
+    scratch, above, last = Scratch(nodes.sparkSession, "hierarchy"), None, None
+    nodes = scratch.write(nodes, "nodes")
+    for kind in kinds:
+        mine = nodes.where(F.col("level") == kind)
+        parents = mine.withColumn("parent_id", F.lit(None).cast("long")) if above is None else mine.join(above, "parent_uri", "left")
+        one = parents.groupBy("external_uri").agg(F.min_by("term", F.struct("rid", "i")).alias("term"), F.min("parent_id").alias("parent_id")).withColumn("rid", F.col("external_uri"))
+        existing, last = subjects(existing, one, vocabulary, kind, complete=complete)
+        existing, last = scratch.write(existing, f"subjects-{kind}"), scratch.write(last, f"links-{kind}")
+        above = last.select(F.col("rid").alias("parent_uri"), F.col("id").alias("parent_id"))
+    return existing, last.select(F.col("rid").alias("external_uri"), "id")
+
+
 def linked(links: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Links with the new ones whose keys aren't there; NULL is a key value, and of new ones with equal keys one counts."""
     types = dict(links.dtypes)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
 
 def ladder(records: DataFrame, existing: DataFrame, rid: str, eid: str, keys: list[tuple[str, Column, Column]]) -> DataFrame:
     """Rid, eid, rung of each record's best match: the first rung that matches, then the least id.
@@ -46,6 +48,57 @@ def remap(child: DataFrame, column: str, pairs: DataFrame, keys: list[str]) -> D
     return first.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest]) if rest else first
 
 
+# The columns that name a row of a parent table, and the keys of tables in which a row must not occur twice.
+CHILDREN = {
+    "venues": (("publications", "venue_id"), ("venue_subjects", "venue_id")),
+    "organizations": (("authorships", "affiliation_id"), ("funding", "funder_id"), ("programs", "institution_id"), ("publications", "publisher_id"), ("venues", "publisher_id")),
+    "persons": (("authorships", "person_id"), ("course_instructors", "person_id")),
+    "subjects": (("work_subjects", "subject_id"), ("venue_subjects", "subject_id"), ("subjects", "parent_id")),
+    "works": (("authorships", "work_id"), ("publications", "work_id"), ("work_subjects", "work_id"), ("work_references", "citing_work_id"), ("funding", "work_id")),
+}
+KEYS = {
+    "venue_subjects": ("venue_id", "subject_id"), "work_subjects": ("work_id", "subject_id"), "funding": ("work_id", "funder_id", "grant_number"),
+    "work_references": ("citing_work_id", "cited_doi"), "authorships": ("work_id", "person_id", "role"),
+}
+
+
+def followed(pairs: DataFrame, most: int = 60) -> DataFrame:
+    """(duplicate, canonical) with each chain of merges followed to its end; of several canonical rows the least counts.
+
+    A round takes every canonical row's own canonical one, so chains halve; a ring has no end and raises ValueError.
+    """
+    scratch = Scratch(pairs.sparkSession, "followed")
+    rows = pairs.where("duplicate <> canonical").groupBy("duplicate").agg(F.min("canonical").alias("canonical"))
+    rows = scratch.write(rows, "0")
+    for k in range(1, most):
+        on = rows.select(F.col("duplicate").alias("canonical"), F.col("canonical").alias("__next"))
+        if rows.join(on, "canonical", "left_semi").isEmpty():
+            return rows
+        step = rows.join(on, "canonical", "left").select("duplicate", F.coalesce("__next", "canonical").alias("canonical"))
+        if not step.where("duplicate = canonical").isEmpty():
+            break
+        rows = scratch.write(step, str(k))
+    raise ValueError("rows are to be merged into each other in a ring")
+
+
+def repointed(catalog: dict[str, DataFrame], parent: str, pairs: DataFrame) -> dict[str, DataFrame]:
+    """Every table of the catalog that names a row of parent, with duplicates replaced by what they were merged into.
+
+    A row that would then have the key of another gives way to that one, moved rows to own ones. pairs are followed().
+    """
+    out = dict(catalog)
+    for table, column in CHILDREN[parent]:
+        if table not in out or column not in out[table].columns:
+            continue
+        df, keys = out[table], [k for k in KEYS.get(table, ()) if k in out[table].columns]
+        if keys and column in keys:
+            out[table] = remap(df, column, pairs, keys).select(*df.columns)
+        else:
+            to = pairs.select(F.col("duplicate").alias(column), F.col("canonical").alias("__to"))
+            out[table] = df.join(to, column, "left").withColumn(column, F.coalesce("__to", column)).select(*df.columns)
+    return out
+
+
 def merge_organizations(catalog: dict[str, DataFrame], primary: int, secondary: int) -> dict[str, DataFrame]:
     """Organisation secondary folded into primary: numbers and address that primary lacks are filled, five tables repointed, secondary deleted.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import identifiers, text, values
 from . import entities
 from .keys import merge_scores, new_ids
-from .resolve import remap
+from .resolve import followed, repointed
 
 # The columns of a venue that merging treats alike.
 UNIQUE = ("issn", "eissn", "scopus_id", "wikidata_id", "openalex_id", "mag_id")
@@ -55,12 +55,24 @@ def apply_policy(existing: DataFrame, incoming: DataFrame, key: str, policy: dic
     return joined.select(*[column(c, shared[c]).alias(c) if c in shared else F.col(f"`{c}`") for c in existing.columns])
 
 
+def openalex_types(venues: DataFrame, records: DataFrame) -> DataFrame:
+    """Records (id and fields) whose type is that of the stored aggregation type, where there is one; one that maps to OTHER changes nothing."""
+    stored = venues.select("id", F.nullif(text.stripped(F.col("aggregation_type")), F.lit("")).alias("__agg"))
+    kind = values.venue_type(F.col("__agg"), "openalex")
+    given = F.when(F.col("__agg").isNull(), F.col("type")).when(kind != "OTHER", kind)
+    return records.join(stored, "id", "left").withColumn("type", given).drop("__agg")
+
+
 def enrich_openalex(venues: DataFrame, records: DataFrame) -> DataFrame:
     """An aggregation type already stored outranks the record's type, unless it is OTHER, which changes nothing."""
-    stored = venues.select("id", F.col("aggregation_type").alias("__agg"))
-    given = F.when(F.coalesce(F.col("__agg"), F.lit("")) == "", F.col("type")).when(F.col("__agg") != "OTHER", F.col("__agg"))
-    rows = records.join(stored, "id").withColumn("type", given).drop("__agg")
-    return apply_policy(venues, rows, "id", POLICY["openalex"])
+    return apply_policy(venues, openalex_types(venues, records), "id", POLICY["openalex"])
+
+
+def validated(venues: DataFrame, ids: DataFrame, as_of: Column) -> DataFrame:
+    """Venues that ids name and that were pending are valid as of now."""
+    rows = venues.join(ids.select("id").distinct().withColumn("__named", F.lit(True)), "id", "left")
+    now = F.col("__named") & (F.coalesce("validation_status", F.lit("PENDING")) == "PENDING")
+    return rows.withColumns({"validation_status": F.when(now, "VALIDATED").otherwise(F.col("validation_status")), "last_validated_at": F.when(now, as_of).otherwise(F.col("last_validated_at"))}).select(*venues.columns)
 
 
 def update_scimago(venues: DataFrame, records: DataFrame, as_of: Column) -> DataFrame:
@@ -87,7 +99,7 @@ def scopus_entries(titles: DataFrame) -> DataFrame:
         "name": text.clean_string(e("dc:title"), 512), "publisher": text.clean_string(e("dc:publisher"), 512), "type": values.venue_type(kind, "scopus"), "aggregation_type": F.lower(kind), "scopus_id": text.clean_string(e("source-id"), 50),
         "issn": identifiers.issn(e("prism:issn")), "eissn": identifiers.issn(e("prism:eIssn")), "homepage_url": values.homepage(e("prism:url"), links), "open_access": values.flag(e("openaccess")), "is_in_doaj": values.flag(e("openaccessArticle")),
         "citescore": values.citescore(e("citeScoreYearInfoList")["citeScoreCurrentMetric"], e("citeScoreYearInfoList")["citeScoreTracker"]), "sjr": first(e("SJRList")["SJR"]), "snip": first(e("SNIPList")["SNIP"]),
-        "subject_areas": F.transform(e("subject-area"), lambda x: x["$"]), "fallback_id": identifiers.venue_of_file(F.col("path")),
+        "subject_areas": F.transform(e("subject-area"), lambda x: F.struct(text.clean_string(x["$"], 255).alias("term"), text.clean_string(x["@code"], 30).alias("code"))), "fallback_id": identifiers.venue_of_file(F.col("path")),
     }
     return titles.where("entry is not null").select("path", *[v.alias(c) for c, v in fields.items()])
 
@@ -141,6 +153,23 @@ def link_categories(venue_subjects: DataFrame, subjects: DataFrame, rows: DataFr
     return merge_scores(venue_subjects, scored.withColumn("source", F.lit("scimago"))), everything
 
 
+def openalex_venue(records: DataFrame) -> DataFrame:
+    """The fields of OpenAlex venues by rid (the path), ready for the ladder and the policy; issns are all that the record lists."""
+    ids = lambda c: identifiers.last_segment(text.stripped(F.col(f"ids.{c}")))
+    listed = F.coalesce("issn", F.expr("cast(array() as array<string>)"))
+    other = F.get(F.filter(listed, lambda x: (x != "") & ~x.eqNullSafe(F.col("issn_l"))), F.lit(0))
+    flag = lambda c: F.col(c).cast("int")
+    fields = {
+        "name": text.stripped(F.col("display_name")), "type": F.when(F.trim("type") != "", values.venue_type(F.col("type"), "openalex")),
+        "issns": F.filter(F.transform(F.concat(F.array("issn_l"), listed), identifiers.issn), lambda x: x.isNotNull()), "eissn": identifiers.issn(other),
+        "homepage_url": text.stripped(F.col("homepage_url")), "country_code": text.stripped(F.col("country_code")), "open_access": flag("is_oa"), "is_in_doaj": flag("is_in_doaj"),
+        "is_indexed_in_scopus": flag("is_indexed_in_scopus"), "openalex_id": ids("openalex"), "wikidata_id": ids("wikidata"), "mag_id": text.stripped(F.col("ids.mag")),
+        "publisher": text.stripped(F.col("host_organization_name")), "h_index": F.col("summary_stats.h_index"), "i10_index": F.col("summary_stats.i10_index"),
+        "2yr_mean_citedness": F.col("summary_stats.`2yr_mean_citedness`"),
+    }
+    return records.select(F.col("path").alias("rid"), *[v.alias(c) for c, v in fields.items()], identifiers.issn(F.col("issn_l")).alias("issn"), "topics")
+
+
 def status_of_error(error: Column) -> Column:
     """The status that a response without an entry leaves; NULL without an error."""
     return F.when(F.lower(F.trim(error)).contains("no results found"), "NOT_FOUND").when(error.isNotNull(), "FAILED")
@@ -188,9 +217,15 @@ def merge_venues(venues: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.select(*[column(c).alias(c) if c in fill + flags else F.col(f"`{c}`") for c in venues.columns])
 
 
-def repoint(child: DataFrame, pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """A child table's venue_id moved to the canonical venue; rows already there win their key."""
-    return remap(child, "venue_id", pairs, keys)
+def merge_in(catalog: dict[str, DataFrame], pairs: DataFrame) -> dict[str, DataFrame]:
+    """The catalog with venues merged by pairs (duplicate, canonical), chains followed to their end, and all that named a duplicate repointed.
+
+    Pairs of ids that aren't stored are left out.
+    """
+    ids = catalog["venues"].select("id")
+    known = pairs.join(ids.withColumnRenamed("id", "duplicate"), "duplicate", "left_semi").join(ids.withColumnRenamed("id", "canonical"), "canonical", "left_semi")
+    into = followed(known.select("duplicate", "canonical"))
+    return repointed(catalog | {"venues": merge_venues(catalog["venues"], into)}, "venues", into)
 
 
 def create_missing(venues: DataFrame, records: DataFrame, match: list[str], name: str = "name") -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ from .registry import over, query, table
 from .stored import cases, rows, rows_sql
 
 _ENTRY = """named_struct('entry', named_struct('dc:title', concat(' Journal ', k, ' '), 'dc:publisher', concat('House ', k % 9), 'prism:aggregationType', element_at(array('Journal', 'Trade Journal', 'BookSeries'), cast(k % 3 + 1 as int)),
-  'prism:issn', concat(lpad(k, 4, '0'), '0007'), 'prism:eIssn', case when k % 2 = 0 then 'bad' end, 'prism:url', case when k % 4 = 0 then concat('http://u/', k) end, 'source-id', cast(k as string), 'openaccess', cast(k % 2 as string), 'openaccessArticle', case when k % 2 = 0 then 'true' end,
+  'prism:issn', concat(lpad(k % 10000, 4, '0'), '0007'), 'prism:eIssn', case when k % 2 = 0 then 'bad' end, 'prism:url', case when k % 4 = 0 then concat('http://u/', k) end, 'source-id', cast(k as string), 'openaccess', cast(k % 2 as string), 'openaccessArticle', case when k % 2 = 0 then 'true' end,
   'link', array(named_struct('@ref', 'scopus-source', '@href', 'http://s'), named_struct('@ref', 'homepage', '@href', case when k % 3 = 0 then 'http://h' else ' ' end)), 'subject-area', array(named_struct('$', 'A', '@code', '1')),
   'SJRList', named_struct('SJR', array(named_struct('$', '1,25'))), 'SNIPList', named_struct('SNIP', array(named_struct('$', 'x'))), 'citeScoreYearInfoList', named_struct('citeScoreCurrentMetric', '0.0', 'citeScoreTracker', cast(k as string))))"""
 
@@ -28,12 +28,12 @@ def _scopus(spark, sf_dir):
 @query(
     "m23_scopus_entries",
     """SELECT c_custkey AS fallback_id, 'Journal ' || c_custkey AS name, 'House ' || (c_custkey % 9) AS publisher, CASE c_custkey % 3 WHEN 0 THEN 'JOURNAL' WHEN 1 THEN 'OTHER' ELSE 'BOOK_SERIES' END AS type,
-    CASE c_custkey % 3 WHEN 0 THEN 'journal' WHEN 1 THEN 'trade journal' ELSE 'bookseries' END AS aggregation_type, '' || c_custkey AS scopus_id, CASE WHEN length('' || c_custkey) <= 4 THEN right('000' || c_custkey, 4) || '-0007' ELSE NULL END AS issn,
+    CASE c_custkey % 3 WHEN 0 THEN 'journal' WHEN 1 THEN 'trade journal' ELSE 'bookseries' END AS aggregation_type, '' || c_custkey AS scopus_id, right('000' || (c_custkey % 10000), 4) || '-0007' AS issn,
     CASE WHEN c_custkey % 4 = 0 THEN 'http://u/' || c_custkey WHEN c_custkey % 3 = 0 THEN 'http://h' ELSE 'http://s' END AS homepage_url, CAST(c_custkey % 2 AS INTEGER) AS open_access, CASE WHEN c_custkey % 2 = 0 THEN 1 END AS is_in_doaj,
-    CAST(c_custkey AS DOUBLE) AS citescore, 1.25::DOUBLE AS sjr FROM customer WHERE c_custkey < 10000""",
+    CAST(c_custkey AS DOUBLE) AS citescore, 1.25::DOUBLE AS sjr FROM customer""",
 )
 def m23_scopus_entries(spark, sf_dir):
-    found = venues.scopus_entries(_scopus(spark, sf_dir)).where("fallback_id < 10000")
+    found = venues.scopus_entries(_scopus(spark, sf_dir))
     return found.select("fallback_id", "name", "publisher", "type", "aggregation_type", "scopus_id", "issn", "homepage_url", "open_access", "is_in_doaj", "citescore", "sjr")
 
 
@@ -229,18 +229,25 @@ _RANKED = {
 
 @query(
     "m41_scimago_load",
-    """WITH r AS (SELECT c_custkey AS k FROM customer WHERE c_custkey > 0), v AS (SELECT k AS id, 'Stored ' || k AS name, 5 AS h FROM r WHERE k % 3 = 0),
-    n AS (SELECT CASE WHEN k % 3 = 1 THEN 'i' || (k % 40) ELSE 'n' || (k % 40) || (k % 2) END AS key, 'New ' || (k % 40) AS name, CASE WHEN k % 3 = 1 THEN right('000' || (k % 40), 4) || '-0003' END AS issn FROM r WHERE k % 3 <> 0)
-    SELECT name, NULL AS issn, 1234.5::DOUBLE AS sjr, CAST(greatest(h, id % 9) AS BIGINT) AS h_index, 'VALIDATED' AS status, 'House ' || (id % 5) AS publisher, 'IR' AS country, 'Cat ' || (id % 4) AS subject FROM v WHERE id % 2 = 0
+    """
+    WITH r AS (SELECT c_custkey AS k FROM customer),
+    v AS (SELECT k AS id, 'Stored ' || k AS name, 5 AS h FROM r WHERE k % 3 = 0),
+    n AS (SELECT 'New ' || (k % 40) AS name, max(CASE WHEN k % 3 = 1 THEN right('000' || (k % 40), 4) || '-0003' END) AS issn FROM r WHERE k % 3 <> 0 GROUP BY 1)
+    SELECT name, NULL AS issn, 1234.5::DOUBLE AS sjr, CAST(greatest(h, id % 9) AS BIGINT) AS h_index, 'VALIDATED' AS status,
+           'House ' || (id % 5) AS publisher, 'IR' AS country, 'Cat ' || (id % 4) AS subject
+    FROM v WHERE id % 2 = 0
     UNION ALL SELECT name, NULL, 9, h, 'PENDING', NULL, NULL, NULL FROM v WHERE id % 2 <> 0
-    UNION ALL SELECT name, issn, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM (SELECT DISTINCT key, name, issn FROM n) UNION ALL SELECT 'Stored ' || k, NULL, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM r WHERE k % 3 = 0 AND k % 2 <> 0""",
+    UNION ALL SELECT name, issn, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM n
+    UNION ALL SELECT 'Stored ' || k, NULL, 1234.5, NULL, 'VALIDATED', NULL, 'IR', NULL FROM r WHERE k % 3 = 0 AND k % 2 <> 0
+    """,
 )
 def m41_scimago_load(spark, sf_dir):
-    """Stored venues are journals, so that rows of book series with their names make new ones; a new venue's numbers come from several rows and are left out."""
-    said = table(spark, sf_dir, "customer").where("c_custkey > 0").selectExpr("c_custkey k").selectExpr(*[f"{x} AS {c}" for c, x in _RANKED.items()])
+    """Stored venues are journals, so that rows of book series with their names make new ones. Rows of one new title and type are one
+    venue, with or without ISSN; its other numbers come from several rows and are left out."""
+    said = table(spark, sf_dir, "customer").selectExpr("c_custkey k").selectExpr(*[f"{x} AS {c}" for c, x in _RANKED.items()])
     schema = "id long, name string, type string, issn string, eissn string, scopus_id string, publisher_id long, country_code string, sjr double, open_access int, h_index long, is_indexed_in_scopus int, validation_status string, last_validated_at string"
     empty = spark.createDataFrame([], schema)
-    held = table(spark, sf_dir, "customer").where("c_custkey > 0 and c_custkey % 3 = 0").selectExpr("c_custkey id", "concat('Stored ', c_custkey) name", "'JOURNAL' type", "9d sjr", "5L h_index", "'PENDING' validation_status")
+    held = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").selectExpr("c_custkey id", "concat('Stored ', c_custkey) name", "'JOURNAL' type", "9d sjr", "5L h_index", "'PENDING' validation_status")
     subjects = spark.createDataFrame([], "id long, term string, vocabulary string, subject_type string, lang string, external_uri string, parent_id long, term_key string")
     c = {
         "venues": empty.unionByName(held, allowMissingColumns=True), "organizations": spark.createDataFrame([], "id long, name string, type string"), "subjects": subjects,
