@@ -4,13 +4,14 @@ A list holds the documents of one term with their impacts, the term's weight lef
 ranges of (term, impact), so a word of every other document spreads over many partitions. The three phases of the
 uniform threshold algorithm are joins over all queries at once:
 
-1. The k heads of each list give partial scores; the k-th best of a query is a lower bound of its k-th score.
-2. A query of m lists fetches from each what scores that bound / m or more. Partial scores so far give a better bound;
-   a document whose partial score, and what the other lists could add at most, stays below it is dropped. A list
-   can add less than the threshold, and no more than its head.
+1. The k heads of each list give partial scores. The exact scores of the best few documents by these are looked up; the
+   k-th of them is a lower bound of the query's k-th score.
+2. One threshold for all lists of a query: the least at which a document that reaches it in no list stays below the bound, a
+   list giving no more than its head. What is at or above it is fetched from each list. The best documents by what was
+   fetched are looked up for a better bound; a document that stays below it even with all that the other lists could add is dropped.
 3. Exact scores of the rest: the lists that were not fetched for a document are looked up by term and document.
 
-Of a frequent word with a small weight only the heads are read for a query whose bound is beyond it. All scores are
+Of a frequent word with a small weight little more than the heads is read for a query whose bound is beyond it. All scores are
 integers, so neither order nor partitioning can change a result.
 
 Null and empty texts have no terms; such documents are not counted, such queries find nothing. Repeated rows of the
@@ -31,7 +32,10 @@ from pyspark.sql.window import Window
 
 from .common import Scratch, map_arrow
 
-TOP = 10
+#: Documents of a result, and how many times as many are looked up for the first bound, which any number keeps exact.
+TOP, PROBED = 10, 8
+#: Of the greatest threshold that loses no document so much is taken: a lower one fetches more, and leaves less to look up.
+SHARE = 0.25
 #: Distinct query terms up to which workers get them to leave other terms out early; beyond, the join alone does it.
 SENT_TERMS = 200_000
 #: ASCII letters in lower case and digits stay, other ASCII becomes a space, bytes of other characters stay.
@@ -80,10 +84,22 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
+def _best(scores: DataFrame, k: int) -> DataFrame:
+    return scores.withColumn("at", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), "key"))).where(F.col("at") <= k)
+
+
 def _kth(scores: DataFrame, k: int) -> DataFrame:
     """item, bound: the k-th best score of each item, 0 where it has fewer."""
-    best = scores.withColumn("at", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), "key"))).where(F.col("at") <= k)
-    return best.groupBy("item").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).otherwise(0).cast("long").alias("bound"))
+    return _best(scores, k).groupBy("item").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).otherwise(0).cast("long").alias("bound"))
+
+
+def _looked_up(lists: DataFrame, pairs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """item, key, score: the exact scores of pairs (item, key, a written table).
+
+    The postings of these documents meet their queries by document, so that each sum is formed where its rows are.
+    """
+    mine = lists.join(pairs.select("item", "key"), "key").join(wanted, ["item", "term"])
+    return mine.groupBy("key", "item").agg(F.sum(F.col("c") * F.col("impact")).alias("score"))
 
 
 def rank(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", query_col: str = "text") -> DataFrame:
@@ -117,28 +133,36 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc_i
     best = Window.partitionBy("term").orderBy(F.desc("impact"), "key")
     heads = scratch.write(lists.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k).drop("at"), "heads")
     first = heads.join(wanted, "term").groupBy("item", "key").agg(F.sum(F.col("c") * F.col("impact")).alias("score"))
-    of_item = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("m")).join(_kth(first, k), "item", "left")
+    probed = scratch.write(_best(first, PROBED * k).select("item", "key"), "probed")
+    bounds = scratch.write(_kth(_looked_up(lists, probed, wanted), k), "bounds")
     top = heads.groupBy("term").agg(F.max("impact").alias("top"))
-    below = F.greatest(F.lit(0).cast("long"), _div(F.col("bound") - 1, F.col("m")))  # what an entry scores at most that isn't fetched
-    least = _div(F.col("bound") + F.col("m") * F.col("c") - 1, F.col("m") * F.col("c"))
-    plan = wanted.join(top, "term").join(of_item.withColumn("bound", F.coalesce("bound", F.lit(0).cast("long"))), "item")
-    plan = scratch.write(plan.select("item", "term", "c", least.alias("least"), F.least(below, F.col("c") * F.col("top")).alias("rest")), "plan")
-
-    # Phase 2: everything at or above the uniform threshold.
-    floors = plan.groupBy("term").agg(F.min("least").alias("floor"))
-    near = lists.join(floors, "term").where("impact >= floor").select("term", "key", "impact")
-    fetched = near.join(plan, "term").where("impact >= least").groupBy("item", "key").agg(F.sum(F.col("c") * F.col("impact")).alias("score"), F.sum("rest").alias("seen"))
+    heights = wanted.join(top, "term").select("item", "term", "c", (F.col("c") * F.col("top")).alias("top"))
+    heights = heights.join(bounds, "item", "left").withColumn("bound", F.coalesce("bound", F.lit(0).cast("long")))
+    # With the j lowest lists up to their heads and the others up to x, the sum stays below the bound if x is at most (bound - 1 - heads) / others, for any j.
+    query = Window.partitionBy("item").orderBy("top", "term")
+    lower = F.coalesce(F.sum("top").over(query.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    others = F.count(F.lit(1)).over(Window.partitionBy("item")) - F.row_number().over(query) + 1
+    below = heights.withColumn("x", F.floor((F.col("bound") - 1 - lower) / others)).groupBy("item").agg(F.floor(F.greatest(F.lit(0).cast("long"), F.max("x")) * SHARE).alias("below"))
+    plan = heights.join(below, "item").select("item", "term", "c", _div(F.col("below") + F.col("c"), F.col("c")).alias("least"), F.least("below", "top").alias("rest"), "top", "bound")
+    plan = scratch.write(plan, "plan")
+
+    # Phase 2: everything at or above the uniform threshold. What was fetched is dealt by document; the sums of all queries are formed there.
+    steps = plan.where(F.col("least") * F.col("c") <= F.col("top"))
+    floors = steps.groupBy("term").agg(F.min("least").alias("floor"))
+    near = lists.join(floors, "term").where("impact >= floor").select("term", "key", "impact").repartition("key")
+    sums = near.join(steps, "term").where("impact >= least").groupBy("key", "item").agg(F.sum(F.col("c") * F.col("impact")).alias("score"), F.sum("rest").alias("seen"))
+    limits = scratch.write(plan.groupBy("item").agg(F.sum("rest").alias("rest"), F.first("bound").alias("bound")), "limits")
+    fetched = sums.join(limits, "item").select("item", "key", "score", (F.col("score") + F.col("rest") - F.col("seen")).alias("most"), "bound").where("most >= bound")
     fetched = scratch.write(fetched, "fetched")
-    rests = plan.groupBy("item").agg(F.sum("rest").alias("rest"))
-    hopeful = fetched.join(_kth(fetched, k).join(rests, "item"), "item").where("score + rest - seen >= bound")
-    hopeful = scratch.write(hopeful.select("item", "key", "score"), "hopeful")
-
-    # Phase 3: what was not fetched of the documents that may still be among the best.
-    sought = scratch.write(hopeful.select("item", "key").join(plan.where("least > 1").select("item", "term", "c", "least"), "item"), "sought")
-    added = lists.join(sought, ["term", "key"]).where("impact < least").groupBy("item", "key").agg(F.sum(F.col("c") * F.col("impact")).alias("more"))
-    exact = hopeful.join(added, ["item", "key"], "left").select("item", "key", (F.col("score") + F.coalesce("more", F.lit(0))).alias("score")).where("score > 0")
+    better = scratch.write(_best(fetched, PROBED * k).select("item", "key"), "better")
+    second = _kth(_looked_up(lists, better, wanted), k).unionByName(limits.select("item", "bound")).groupBy("item").agg(F.max("bound").alias("second"))
+    second = scratch.write(second, "second")
+    hopeful = scratch.write(fetched.join(second, "item").where("most >= second").select("item", "key"), "hopeful")
+
+    # Phase 3: exact scores of the documents that may still be among the best.
+    exact = _looked_up(lists, hopeful, wanted).where("score > 0")
     named = raw.where("term is null").select("key", "id").join(exact, "key")
     place = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("id"), "key")
     ranked = scratch.write(named.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k), "ranked")
-    scratch.drop("raw", "lists", "stats", "heads", "fetched", "hopeful", "sought")
+    scratch.drop("raw", "lists", "stats", "heads", "probed", "bounds", "plan", "limits", "fetched", "better", "second", "hopeful")
     return ranked.join(items.select("item", "item_id"), "item").select("item_id", "rank", F.col("id").alias("doc_id"), "score")
