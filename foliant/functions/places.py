@@ -18,19 +18,35 @@ COUNTRY_OVERRIDES = {
 def title_case(s: Column) -> Column:
     """words with a capital first, small words lower-case unless first, last or after a colon.
 
-    A text in capitals throughout is lowered first; words that mix cases or hold a stop inside keep their form.
+    A text in capitals throughout is lowered first; words that mix cases or hold a stop inside keep their form. Of words joined by a
+    hyphen or stroke each is a word, the small ones lower-case. After o' and the like, and after Mc, the next letter is a capital, and
+    d' and l' are small.
     """
     shout = (s == F.upper(s)) & (s != F.lower(s))
     split = F.split(F.when(shout, F.lower(s)).otherwise(s), " ", -1)
 
-    def one(words, w, i):
-        bare = F.lower(F.regexp_replace(w, r"[^\p{L}]", ""))
-        inner = (i > 0) & (i < F.size(words) - 1) & ~F.coalesce(F.get(words, i - 1).endswith(":"), F.lit(False))
+    def capital(w):
         first = F.regexp_extract(w, r"^[^\p{L}]*", 0)
         rest = F.substr(w, F.length(first) + 1)
-        capital = F.concat(first, F.upper(F.left(rest, F.lit(1))), F.substr(rest, F.lit(2)))
+        upper = lambda at: F.concat(F.upper(F.left(F.substr(rest, F.lit(at)), F.lit(1))), F.substr(rest, F.lit(at + 1)))
+        head = F.left(rest, F.lit(1))
+        vowel = F.lower(head).isin("a", "e", "i", "o", "u")
+        joined = F.concat(first, F.when(vowel, F.upper(head)).otherwise(F.lower(head)), F.substr(rest, F.lit(2), F.lit(1)), upper(3))
+        return F.when(rest.rlike(r"^[dolDOL]['‘’]\p{Ll}+"), joined).when(rest.rlike(r"^[Mm]c\p{Ll}\p{L}+"), F.concat(first, F.lit("Mc"), upper(3))).otherwise(F.concat(first, upper(1)))
+
+    def small(w):
+        return F.lower(F.regexp_replace(w, r"[^\p{L}]", "")).isin(*SMALL)
+
+    def parts(w, mark, edge):
+        each = F.transform(F.split(w, mark, -1), lambda p, i: F.when(small(p) & ~(edge & (i == 0)), F.lower(p)).otherwise(capital(p)))
+        return F.array_join(each, mark)
+
+    def one(words, w, i):
+        inner = (i > 0) & (i < F.size(words) - 1) & ~F.coalesce(F.get(words, i - 1).endswith(":"), F.lit(False))
         own = w.rlike(r"\p{Ll}.*\p{Lu}|\p{L}\.\p{L}")
-        return F.when(own, w).when(inner & bare.isin(*SMALL), F.lower(w)).otherwise(capital)
+        joined = w.rlike(r"\p{L}[-/]\p{L}")
+        by_part = F.when(w.contains("-"), parts(w, "-", ~inner)).otherwise(parts(w, "/", ~inner))
+        return F.when(own, w).when(joined, by_part).when(inner & small(w), F.lower(w)).otherwise(capital(w))
 
     # An array of the one array, so that a long text is split once, not anew for each word.
     return F.array_join(F.get(F.transform(F.array(split), lambda words: F.transform(words, lambda w, i: one(words, w, i))), F.lit(0)), " ")
@@ -48,3 +64,33 @@ def country_codes(rows: DataFrame, name: str, codes: DataFrame | None = None) ->
     table = codes.groupBy(F.lower(F.trim("name")).alias("__name")).agg(F.min("code").alias("__code"))
     joined = rows.join(table, key == F.col("__name"), "left")
     return joined.withColumn("country_code", F.coalesce(F.try_element_at(known, key), "__code")).drop("__name", "__code")
+
+
+def allowed_edits(name: Column) -> Column:
+    """How many letters of a name may be wrong: none below four letters, one below eight, two from there on."""
+    return F.when(F.length(name) < 4, 0).when(F.length(name) < 8, 1).otherwise(2)
+
+
+def closest_names(names: DataFrame, known: DataFrame) -> DataFrame:
+    """name, match, edits of each of names (name) that is within allowed_edits() of one of known (match); the closest counts, then the first by letters.
+
+    A known name is cut into one piece more than edits are allowed: one piece at least stands unchanged in any name within
+    reach, moved by no more places than that. Names meet known ones by length, piece and letters in one equi-join, so no pair that is
+    within reach is lost, and none is compared that shares nothing. Equal names are matches of no edits; case is ignored.
+    """
+    key = lambda c: F.lower(F.trim(F.col(c)))
+    piece = lambda n, d, i: F.floor(n * i / (d + 1)).cast("int")
+    cut = known.select("match", key("match").alias("k")).where("k <> ''").distinct().withColumns({"n": F.length("k"), "d": allowed_edits(F.col("k"))})
+    cut = cut.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d"))))
+    start, end = piece(F.col("n"), F.col("d"), F.col("i")), piece(F.col("n"), F.col("d"), F.col("i") + 1)
+    cut = cut.select("match", "k", "d", "n", "i", F.substring("k", start + 1, end - start).alias("letters"))
+    mine = names.select("name", key("name").alias("q")).where("q <> ''").distinct()
+    mine = mine.withColumn("n", F.explode(F.sequence(F.greatest(F.length("q") - 2, F.lit(1)), F.length("q") + 2)))
+    mine = mine.withColumn("d", F.when(F.col("n") < 4, 0).when(F.col("n") < 8, 1).otherwise(2)).where(F.abs(F.length("q") - F.col("n")) <= F.col("d"))
+    mine = mine.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d")))).withColumn("shift", F.explode(F.sequence(-F.col("d"), F.col("d"))))
+    start, end = piece(F.col("n"), F.col("d"), F.col("i")), piece(F.col("n"), F.col("d"), F.col("i") + 1)
+    mine = mine.select("name", "q", "n", "i", F.substring("q", start + F.col("shift") + 1, end - start).alias("letters"), (start + F.col("shift")).alias("at")).where("at >= 0").drop("at").distinct()
+    pairs = mine.join(cut, ["n", "i", "letters"]).select("name", "q", "match", "k", "d").distinct()
+    near = pairs.withColumn("edits", F.levenshtein("q", "k", 2)).where("edits between 0 and d")
+    best = near.groupBy("name").agg(F.min(F.struct("edits", "match")).alias("b"))
+    return best.select("name", F.col("b.match").alias("match"), F.col("b.edits").alias("edits"))

@@ -226,8 +226,17 @@ def column_stats(before: DataFrame, wanted: Column, after: DataFrame, column: st
     )
 
 
+def title_subtitle_phase(catalog: Catalog) -> Catalog:
+    """Titles split at their first colon where there is no subtitle yet and neither part would be empty."""
+    works = catalog["works"]
+    if not {"title", "subtitle"} <= set(works.columns):
+        return catalog
+    parts = text.split_title(F.col("title"), F.col("subtitle"))
+    return catalog | {"works": works.withColumn("__parts", parts).withColumns({c: F.col(f"__parts.{c}") for c in ("title", "subtitle")}).drop("__parts")}
+
+
 #: Phases of the clean-up by name, in their order.
-PHASES: dict[str, Callable[[Catalog], Catalog]] = {"text": text_phase, "sentinel": sentinel_phase, "identifiers": identifier_phase, "capitalization": capitalization_phase}
+PHASES: dict[str, Callable[[Catalog], Catalog]] = {"text": text_phase, "sentinel": sentinel_phase, "identifiers": identifier_phase, "title_subtitle": title_subtitle_phase, "capitalization": capitalization_phase}
 
 
 def run(catalog: Catalog, phases: tuple[str, ...] = tuple(PHASES), tables: tuple[str, ...] | None = None, mode: str = "run") -> tuple[Catalog, DataFrame | None]:
@@ -240,6 +249,6 @@ def run(catalog: Catalog, phases: tuple[str, ...] = tuple(PHASES), tables: tuple
     signals = profile(chosen) if mode != "run" else None
     if mode != "profile":
         for name, phase in PHASES.items():
-            if name in phases and (name != "capitalization" or "works" in chosen):
+            if name in phases and (name not in ("title_subtitle", "capitalization") or "works" in chosen):
                 chosen = phase(chosen)
     return catalog | chosen, signals

@@ -172,11 +172,6 @@ def m28_unmerge(spark, sf_dir):
     return pubs.select("id", "work_id").join(children["authorships"].groupBy("work_id").agg(F.count(F.lit(1)).alias("authors")), "work_id")
 
 
-@query("f40_title_case", "SELECT n_nationkey AS id, 'The Art of War: A View of It' AS title, 'On the Rise and Fall of iOS' AS mixed FROM nation")
-def f40_title_case(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), places.title_case(F.lit("THE ART OF WAR: A VIEW OF IT")).alias("title"), places.title_case(F.lit("on the rise and fall of iOS")).alias("mixed"))
-
-
 @query(
     "f51_country_codes",
     """SELECT n_nationkey AS id, CASE upper(n_name) WHEN 'UNITED STATES' THEN 'US' WHEN 'UNITED KINGDOM' THEN 'GB' WHEN 'IRAN' THEN 'IR' WHEN 'VIETNAM' THEN 'VN'

@@ -337,4 +337,4 @@ def f_page_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.ingest_text(F.col("html")).alias("ingest"), text.cleaned_text(F.col("html")).alias("cleaned"))
 
 
-from . import loading, loads, new_entities, registries, stored, venues_and_summaries, whole  # noqa: E402, F401  (register their queries)
+from . import loading, loads, new_entities, registries, repairs, stored, venues_and_summaries, whole  # noqa: E402, F401  (register their queries)
