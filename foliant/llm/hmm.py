@@ -4,15 +4,16 @@ Training: word counts of all training texts (a shuffle of per-task partial count
 the model's symbols: the HEAD commonest words are symbols of their own, all others fall into CLASSES classes by
 their ending and have a unigram within their class. Baum-Welch then trains STATES latent states: each task runs
 forward and backward over its whole texts and returns expected counts by symbol, which are summed across
-partitions; the driver holds only the model, states by symbols. It ends after ROUNDS rounds, or earlier when a
-round gains less than SETTLED log10 a token.
+partitions; the driver holds only the model, states by symbols. It ends when a round gains less than SETTLED log10 a
+token; ROUNDS only stops a training that never does.
 
 Scoring: the scaled forward recursion gives the exact likelihood of each whole text.
 
 Long texts are cut into blocks that are worked on side by side. A first pass gives each block's transfer matrix;
 their products are the exact forward and backward messages at the borders, for training and for scoring.
 
-Counts of words beyond the KNOWN commonest come by a join; only they are shuffled, so no key is hot.
+Counts of words beyond the KNOWN commonest come by a join; only they are shuffled, so no key is hot. Very long words stand
+under a digest of theirs, so that a long word of every other text is among the commonest like any other.
 
 Null and empty texts are the end alone. Repeated rows train and are scored as often as they occur; rows are told
 apart by a number written down with them. A null id trains. Ties among equally common words at the edge of HEAD go to the lesser word. With nothing to train on, or an
@@ -28,14 +29,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, id_and_text, map_arrow
 
 #: Symbols of single words, symbols of classes, latent states, rounds of Baum-Welch at most, gain a token below which it ends.
-HEAD, CLASSES, STATES, ROUNDS, SETTLED = 8192, 256, 8, 5, 5e-4
-#: Words whose counts are sent to every task: at most so many, of at most WORD_BYTES bytes each.
+HEAD, CLASSES, STATES, ROUNDS, SETTLED = 8192, 256, 8, 30, 4e-3
+#: Words whose counts are sent to every task: at most so many; those of more than WORD_BYTES bytes stand under a digest.
 KNOWN, WORD_BYTES = 50_000, 64
 #: Words seen more rarely stay in their class, so that classes know how rare words behave.
 LEAST = 3
@@ -56,6 +58,11 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def key_of(word: bytes) -> bytes:
+    """The word, or a digest with its last two bytes, which tell its class, where it is long."""
+    return word if len(word) <= WORD_BYTES else b"\0" + xxhash.xxh3_128_digest(word) + word[-2:]
+
+
 def word_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % CLASSES
 
@@ -64,7 +71,7 @@ def _count(batches):
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
     def rows(counts):
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(map(key_of, counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
 
     counts: Counter = Counter()
     for b in batches:
@@ -275,6 +282,10 @@ def _encode(known: dict, log_z: float, class_z: np.ndarray):
                 words = words_of(text)
                 words.append(END)
                 where = np.fromiter(map(place, words), np.int64, len(words))
+                for k in np.flatnonzero(where < 0).tolist():
+                    if len(words[k]) > WORD_BYTES:
+                        words[k] = key_of(words[k])
+                        where[k] = place(words[k])
                 new = np.flatnonzero(where < 0)
                 rest = [words[k] for k in new.tolist()]
                 ids = symbol[where]
@@ -344,7 +355,7 @@ def train(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     counted = map_arrow(texts, _count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
     vocab = scratch.write(counted, "vocab")
     by_class = F.pmod(F.crc32(F.expr("case when octet_length(word) > 2 then substring(word, -2, 2) else word end")), F.lit(CLASSES)).cast("int")
-    common = vocab.where((F.octet_length("word") > 0) & (F.octet_length("word") <= WORD_BYTES) & (F.col("c") >= LEAST))
+    common = vocab.where((F.octet_length("word") > 0) & (F.col("c") >= LEAST))
     # By sixteenths of a doubling: the commonest bins that hold KNOWN words at most, found without a sort.
     common = common.withColumn("bin", F.floor(16 * F.log2("c")).cast("int"))
     left, least = KNOWN - 1, 10_000
