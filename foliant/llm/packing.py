@@ -1,10 +1,16 @@
 """Operator 6: packing along a space-filling curve.
 
 Each document's tokens are projected by signed hashing to DIMS numbers, quantised and turned into a Hilbert key.
-Rows are range-sorted by that key (then by document and hash, so that equal keys still spread over partitions)
+Rows are range-sorted by that key, then by a hash of the document, so that equal keys still spread over partitions,
 and laid out end to end along the curve; the running position of a row, its partition's start plus its place
-there, gives the sequences it falls into. Only the very last sequence is not full, and it is split at powers
-of two, which need no padding. Partition totals, one row a partition, are all that the driver sees.
+there, gives the sequences it falls into. Ranges hold about equally many tokens, not rows: their borders are
+quantiles of a sketch in which a row counts once for each GRAIN tokens, as long documents lie together at the
+curve's ends. Only the very last sequence is not full, and it is split at powers of two, which need no padding. The
+driver sees borders and totals of partitions, a number each.
+
+Null and empty texts are the end token alone. Texts of any length are encoded whole and cut wherever a sequence
+ends; a document is in one range, however long. Ties on the curve go by the hash, then by id, null ids first; repeated rows are packed each
+for itself. An empty table has no pieces. Other columns, whatever their names, go no further.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ VOCABULARY = "byte_bpe_50k.json"
 LENGTH, END, DIMS, BITS = 2048, 1, 4, 12
 #: Bytes of ids in a partition: at most about PART whatever the session's setting, and no less than SMALL where that asks for more partitions.
 PART, SMALL = 64 << 20, 1 << 20
+#: Tokens for which a row counts once in the sketch that borders are taken from, its accuracy for each partition, and steps to a partition.
+GRAIN, ACCURACY, STEPS = 256, 200, 8
 
 
 def projection(n: int, dims: int = DIMS) -> np.ndarray:
@@ -88,6 +96,33 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
     return map_arrow(id_and_text(docs, id_col, text_col), run, "doc_id long, key long, n long, ids binary")
 
 
+def borders(rows: DataFrame, partitions: int) -> list[int]:
+    """Keys along the curve that part rows (key, n) into steps of about equally many tokens, STEPS a partition; a key that fills several steps is there several times."""
+    if partitions < 2:
+        return []
+    counted = rows.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / GRAIN))))
+    shares = F.array(*[F.lit(k / (STEPS * partitions)) for k in range(1, STEPS * partitions)])
+    return sorted(counted.agg(F.percentile_approx("key", shares, max(10_000, ACCURACY * partitions)).alias("at")).first().at or [])
+
+
+def ranges_of(keys: np.ndarray, hashes: np.ndarray, at: list[int]) -> np.ndarray:
+    """The partition of each key; of a key at borders the rows are dealt to the steps that meet there by their 24-bit hashes, in order."""
+    edges = np.array(at, np.int64)
+    low, high = np.searchsorted(edges, keys, "left"), np.searchsorted(edges, keys, "right")
+    return ((low + (hashes * (high - low + 1) >> 24)) // STEPS).astype(np.int32)
+
+
+def _dealt(rows: DataFrame, at: list[int]) -> DataFrame:
+    """rows with the number of their range."""
+
+    def run(batches):
+        for b in batches:
+            part = ranges_of(b.column("key").to_numpy(), b.column("h").to_numpy(), at)
+            yield pa.RecordBatch.from_arrays([pa.array(part), *b.columns], names=["part", *b.schema.names])
+
+    return map_arrow(rows, run, "part int, key long, h long, doc_id long, n long, ids binary")
+
+
 def _numbered(rows: DataFrame) -> DataFrame:
     """part and the tokens before each row in its partition, in the partition's order."""
     schema = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
@@ -137,11 +172,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     path = path or vocabulary(VOCABULARY)
     scratch = Scratch(spark, "packing")
     encoded = scratch.write(encode(docs, id_col, text_col, path), "encoded")
-    order = [F.col("key"), F.xxhash64("doc_id"), F.col("doc_id")]
+    encoded = encoded.select("key", F.shiftrightunsigned(F.xxhash64("doc_id"), 40).alias("h"), "doc_id", "n", "ids")
     if not partitions:
         size = 2 * (encoded.agg(F.sum("n")).first()[0] or 0)
         partitions = max(1, math.ceil(size / PART), min(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SMALL))
-    laid = scratch.write(_numbered(encoded.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("doc_id", "n", "ids")), "laid")
+    at = borders(encoded, partitions)
+    dealt = _dealt(encoded, at).repartitionById(partitions, F.col("part")).sortWithinPartitions("key", "h", "doc_id")
+    laid = scratch.write(_numbered(dealt.select("doc_id", "n", "ids")), "laid")
     scratch.drop("encoded")
     totals = dict(laid.groupBy("part").agg(F.sum("n")).collect())
     starts, total = {}, 0

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foliant.llm import filter_audit, lexical, registry, suffix_dedup, suffixes
+from foliant.llm import filter_audit, hmm, lexical, packing, registry, suffix_dedup, suffixes
 from foliant.llm.common import Scratch
 
 DATA = "/root/testdata/sf0.001"
@@ -230,3 +230,34 @@ def test_new_queries_against_sql(spark, name):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     want = con.sql(registry.ORACLES[name])
     assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_ranges_of_the_curve_hold_as_many_tokens(spark):
+    rng = random.Random(11)
+    rows = [(k, rng.randrange(1 << 40), rng.choice([3, 50, 400])) for k in range(4000)] + [(k, (1 << 47) + k, 30_000) for k in range(60)] + [(k, 1 << 46, 2000) for k in range(900)]
+    at = packing.borders(spark.createDataFrame(rows, "doc_id long, key long, n long"), 8)
+    hashes = np.array([rng.randrange(1 << 24) for _ in rows])
+    parts = packing.ranges_of(np.array([r[1] for r in rows]), hashes, at)
+    sizes = Counter()
+    for part, (_, _, n) in zip(parts.tolist(), rows):
+        sizes[part] += n
+    assert len(sizes) == 8 and max(sizes.values()) <= 1.5 * sum(sizes.values()) / 8
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][1], hashes[i]))
+    assert (np.diff(parts[order]) >= 0).all()
+    assert packing.borders(spark.createDataFrame(rows, "doc_id long, key long, n long").limit(0), 8) == []
+
+
+def test_a_long_word_of_every_text_is_known(spark):
+    line, other = "-" * 80, "=" * 90
+    docs = spark.createDataFrame([(k, f"{line} word{k} {line}" + (f" {other}" if k == 3 else "")) for k in range(60)], "doc_id long, text string")
+    model, coded, _ = hmm.train(docs, Scratch(spark, "long"), states=2, rounds=1)
+    trained = sum(not hmm.is_held_out(k) for k in range(60))
+    assert model.known[hmm.key_of(line.encode())] == 2 * trained
+    rest = [bytes(w) for r in coded.select("rest").collect() for w in r.rest]
+    assert hmm.key_of(line.encode()) not in rest and max(map(len, rest)) <= hmm.WORD_BYTES
+    scored = {r.doc_id: r for r in hmm.score(docs, states=2, rounds=1).collect()}
+    base = lambda c: math.log10((c + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
+    for k in range(60):
+        own = 0 if hmm.is_held_out(k) else 1
+        want = 2 * base(2 * trained) + base(own) + base(trained) + (base(own) if k == 3 else 0)
+        assert math.isclose(scored[k].base_score, want, rel_tol=1e-9) and scored[k].n_known == 3 + own * (2 if k == 3 else 1)
