@@ -349,12 +349,29 @@ _SIGNALS = {
     UNION ALL SELECT 'works.title with : and no subtitle', count(*) FILTER (WHERE title LIKE '%:%' AND subtitle IS NULL) FROM w UNION ALL SELECT 'works.title ALL CAPS', count(*) FILTER (WHERE title = upper(title) AND length(title) > 3) FROM w
     UNION ALL SELECT 'works.title all lowercase', count(*) FILTER (WHERE title = 'quiet title here') FROM w UNION ALL SELECT 'works.subtitle ALL CAPS', count(*) FILTER (WHERE subtitle = 'SHOUT') FROM w
     UNION ALL SELECT 'works.subtitle all lowercase', count(*) FILTER (WHERE subtitle = 'whisper') FROM w UNION ALL SELECT 'venues.issn without hyphen', count(*) FILTER (WHERE c_custkey % 2 = 0) FROM customer
-    UNION ALL SELECT 'publications.doi upper', count(*) FILTER (WHERE o_orderkey % 5 = 0) FROM orders UNION ALL SELECT 'publications.doi prefixed', count(*) FILTER (WHERE o_orderkey % 4 = 0) FROM orders""",
+    UNION ALL SELECT 'publications.doi upper', count(*) FILTER (WHERE o_orderkey % 5 = 0) FROM orders UNION ALL SELECT 'publications.doi prefixed', count(*) FILTER (WHERE o_orderkey % 4 = 0) FROM orders
+    UNION ALL SELECT 'publications placeholders', count(*) FILTER (WHERE o_orderkey % 6 = 0 OR o_orderkey % 10 = 0) FROM orders
+    UNION ALL SELECT 'persons.preferred_name leading punct', count(*) FILTER (WHERE c_custkey % 3 = 0) FROM customer
+    UNION ALL SELECT 'organizations.name double spaces', count(*) FILTER (WHERE s_suppkey % 2 = 0) FROM supplier
+    UNION ALL SELECT 'venues.name leading punct', count(*) FILTER (WHERE c_custkey % 4 = 0) FROM customer
+    UNION ALL SELECT 'venues.eissn without hyphen', count(*) FILTER (WHERE c_custkey % 5 = 0) FROM customer
+    UNION ALL SELECT 'work_references.cited_doi upper', count(*) FILTER (WHERE l_partkey % 3 = 0) FROM lineitem""",
 )
 def p12_profile(spark, sf_dir):
-    venues = rows(spark, sf_dir, "customer", {"issn": "CASE WHEN c_custkey % 2 = 0 THEN '1234567x' ELSE '1234-5678' END"})
-    pubs = rows(spark, sf_dir, "orders", {"doi": "CASE WHEN o_orderkey % 4 = 0 THEN 'https://doi.org/' ELSE '' END || '10.1/' || CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE 'x' END"})
-    return cleanup.profile({"works": rows(spark, sf_dir, "orders", _SIGNALS), "venues": venues, "publications": pubs})
+    """All sixteen signals, each over a whole table."""
+    venues = rows(spark, sf_dir, "customer", {
+        "issn": "CASE WHEN c_custkey % 2 = 0 THEN '1234567x' ELSE '1234-5678' END", "eissn": "CASE WHEN c_custkey % 5 = 0 THEN '12345678' END", "name": "CASE WHEN c_custkey % 4 = 0 THEN '- V' ELSE 'V-' END",
+    })
+    pubs = rows(spark, sf_dir, "orders", {
+        "doi": "CASE WHEN o_orderkey % 4 = 0 THEN 'https://doi.org/' ELSE '' END || '10.1/' || CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE 'x' END",
+        "volume": "CASE WHEN o_orderkey % 6 = 0 THEN ' None ' END", "issue": "'x'", "pages": "CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE '1-2' END",
+    })
+    return cleanup.profile({
+        "works": rows(spark, sf_dir, "orders", _SIGNALS), "venues": venues, "publications": pubs,
+        "persons": rows(spark, sf_dir, "customer", {"preferred_name": "CASE WHEN c_custkey % 3 = 0 THEN '. Ana' ELSE 'Ana.' END"}),
+        "organizations": rows(spark, sf_dir, "supplier", {"name": "CASE WHEN s_suppkey % 2 = 0 THEN 'A  B' ELSE 'A B' END"}),
+        "work_references": rows(spark, sf_dir, "lineitem", {"cited_doi": "CASE WHEN l_partkey % 3 = 0 THEN '10.1/A' ELSE '10.1/a' END"}),
+    })
 
 
 _RAW_IDS = {"id": "o_orderkey", "doi": cases("o_orderkey", ["'https://doi.org/10.1/A' || o_orderkey", "'10.1/b' || o_orderkey || '.'", "'doi:10.1/ C' || (o_orderkey % 50)", "NULL"]), "isbn": "' 97 8x'"}

@@ -83,23 +83,29 @@ def m19_merge_by_map(spark, sf_dir):
 
 @query(
     "m40_category_links",
-    """WITH s AS (SELECT p_partkey AS id, 'cat ' || (p_partkey % 30) AS key, CASE WHEN p_partkey % 30 < 10 THEN 'SCImago' ELSE 'Scopus' END AS v FROM part WHERE p_partkey < 20),
-    r AS (SELECT c_custkey AS venue_id, 'cat ' || (c_custkey % 30) AS key, CASE c_custkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 WHEN 2 THEN NULL ELSE 0.25 END AS score FROM customer),
-    n AS (SELECT key, (SELECT max(id) FROM s) + row_number() OVER (ORDER BY key) AS id FROM (SELECT DISTINCT key FROM r WHERE key NOT IN (SELECT key FROM s))), a AS (SELECT key, min(id) AS id FROM (SELECT key, id FROM s UNION ALL SELECT key, id FROM n) GROUP BY 1),
-    l AS (SELECT venue_id, id AS subject_id, score FROM r JOIN a USING (key)), e AS (SELECT c_custkey AS venue_id, c_custkey % 30 AS subject_id, 0.6 AS score FROM customer WHERE c_custkey % 30 BETWEEN 1 AND 19 AND c_custkey % 2 = 0)
-    SELECT coalesce(l.venue_id, e.venue_id) AS venue_id, coalesce(l.subject_id, e.subject_id) AS subject_id, CAST(CASE WHEN l.venue_id IS NOT NULL AND e.venue_id IS NOT NULL THEN greatest(0.6, coalesce(l.score, 0)) ELSE coalesce(l.score, e.score) END AS DOUBLE) AS score,
-    CASE WHEN l.venue_id IS NULL THEN 'old' ELSE 'scimago' END AS source FROM l FULL JOIN e ON l.venue_id = e.venue_id AND l.subject_id = e.subject_id""",
+    """
+    WITH s AS (SELECT p_partkey AS id, 'cat ' || p_partkey AS key FROM part),
+    r AS (SELECT c_custkey AS venue_id, 'cat ' || (2 * c_custkey) AS key, CASE c_custkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 WHEN 2 THEN NULL ELSE 0.25 END AS score FROM customer),
+    n AS (SELECT key, (SELECT max(id) FROM s) + row_number() OVER (ORDER BY key) AS id FROM (SELECT DISTINCT key FROM r WHERE key NOT IN (SELECT key FROM s))),
+    l AS (SELECT venue_id, id AS subject_id, score FROM r JOIN (SELECT key, id FROM s UNION ALL SELECT key, id FROM n) USING (key)),
+    e AS (SELECT c_custkey AS venue_id, 2 * c_custkey AS subject_id, 0.6 AS score FROM customer WHERE c_custkey % 2 = 0 AND 2 * c_custkey IN (SELECT id FROM s))
+    SELECT coalesce(l.venue_id, e.venue_id) AS venue_id, coalesce(l.subject_id, e.subject_id) AS subject_id,
+           CAST(CASE WHEN e.venue_id IS NOT NULL THEN greatest(0.6, coalesce(l.score, 0)) ELSE l.score END AS DOUBLE) AS score, 'scimago' AS source
+    FROM l LEFT JOIN e ON l.venue_id = e.venue_id AND l.subject_id = e.subject_id
+    """,
 )
 def m40_category_links(spark, sf_dir):
-    """Each venue names its category twice, once with the better quartile; subjects are stored for categories 0 to 19."""
-    subjects = table(spark, sf_dir, "part").where("p_partkey < 20").selectExpr(
-        "p_partkey id", "concat('Cat ', p_partkey % 30) term", "case when p_partkey % 30 < 10 then 'SCImago' else 'Scopus' end vocabulary", "case when p_partkey % 30 < 10 then 'Category' else 'SubjectArea' end subject_type", "'en' lang",
-        "cast(null as string) external_uri", "cast(null as bigint) parent_id", "concat('cat ', p_partkey % 30) term_key",
+    """Each venue names its category twice, once with the better quartile; every part is a stored subject, and half the categories or so are new."""
+    part = table(spark, sf_dir, "part")
+    subjects = part.selectExpr(
+        "p_partkey id", "concat('Cat ', p_partkey) term", "case when p_partkey % 30 < 10 then 'SCImago' else 'Scopus' end vocabulary", "case when p_partkey % 30 < 10 then 'Category' else 'SubjectArea' end subject_type", "'en' lang",
+        "cast(null as string) external_uri", "cast(null as bigint) parent_id", "concat('cat ', p_partkey) term_key",
     )
     c = table(spark, sf_dir, "customer")
     better = "case c_custkey % 4 when 0 then ' (Q1)' when 1 then ' (Q3)' when 2 then '' else ' (Q4)' end"
-    said = c.selectExpr("c_custkey venue_id", f"concat('Cat ', c_custkey % 30, {better}, '; cat-', c_custkey % 30, case when c_custkey % 4 = 0 then ' (Q2)' else '' end) categories")
-    stored = c.where("c_custkey % 30 between 1 and 19 and c_custkey % 2 = 0").selectExpr("c_custkey venue_id", "c_custkey % 30 subject_id", "0.6d score", "'old' source")
+    said = c.selectExpr("c_custkey venue_id", f"concat('Cat ', 2 * c_custkey, {better}, '; cat-', 2 * c_custkey, case when c_custkey % 4 = 0 then ' (Q2)' else '' end) categories")
+    stored = c.where("c_custkey % 2 = 0").selectExpr("c_custkey venue_id", "2 * c_custkey subject_id", "0.6d score", "'old' source")
+    stored = stored.join(part.select(F.col("p_partkey").alias("subject_id")), "subject_id", "left_semi").select("venue_id", "subject_id", "score", "source")
     return venues.link_categories(stored, subjects, said)[0]
 
 
