@@ -38,6 +38,8 @@ TOP, PROBED = 10, 8
 SHARE = 0.25
 #: Distinct query terms up to which workers get them to leave other terms out early; beyond, the join alone does it.
 SENT_TERMS = 200_000
+#: Query terms that the tables of queries hold in a file: in a file a partition, a few rows each, they would seem too large to be sent to all tasks.
+TERMS_A_FILE = 200_000
 #: ASCII letters in lower case and digits stay, other ASCII becomes a space, bytes of other characters stay.
 _TERMS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
@@ -113,6 +115,7 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc_i
     asked = queries.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(query_col), F.lit("")).alias("text")).distinct()
     items = scratch.write(asked.withColumn("item", F.xxhash64("item_id", "text")), "items")
     wanted = scratch.write(postings(items, None, "item").where("term is not null").select(F.col("id").alias("item"), "term", F.col("tf").alias("times")), "wanted")
+    files = 1 + wanted.count() // TERMS_A_FILE
     vocabulary = wanted.select("term").distinct()
     only = frozenset(r.term.encode() for r in vocabulary.collect()) if vocabulary.count() <= SENT_TERMS else None
     raw = scratch.write(postings(docs, only, id_col, text_col), "raw")
@@ -122,7 +125,7 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc_i
     n_docs, n_terms = (whole.df, whole.total) if whole else (0, 1)
     weight = F.floor(1000 * F.log((2 * n_docs + 2) / (2 * F.col("df") + 1).cast("double"))).cast("long")
     weights = stats.where("term is not null").join(vocabulary, "term").select("term", weight.alias("w")).where("w > 0")
-    wanted = scratch.write(wanted.join(weights, "term").select("item", "term", (F.col("times") * F.col("w")).alias("c")), "weighed")
+    wanted = scratch.write(wanted.join(weights, "term").select("item", "term", (F.col("times") * F.col("w")).alias("c")).coalesce(files), "weighed")
     m = 25 + _div(75 * F.col("n") * n_docs, F.lit(n_terms).cast("long"))
     impact = _div(F.lit(10**9).cast("long") * F.col("tf"), 1000 * F.col("tf") + 8 * m)
     held = raw.where("term is not null").join(wanted.select("term").distinct(), "term", "left_semi")
@@ -144,19 +147,19 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc_i
     others = F.count(F.lit(1)).over(Window.partitionBy("item")) - F.row_number().over(query) + 1
     below = heights.withColumn("x", F.floor((F.col("bound") - 1 - lower) / others)).groupBy("item").agg(F.floor(F.greatest(F.lit(0).cast("long"), F.max("x")) * SHARE).alias("below"))
     plan = heights.join(below, "item").select("item", "term", "c", _div(F.col("below") + F.col("c"), F.col("c")).alias("least"), F.least("below", "top").alias("rest"), "top", "bound")
-    plan = scratch.write(plan, "plan")
+    plan = scratch.write(plan.coalesce(files), "plan")
 
     # Phase 2: everything at or above the uniform threshold. What was fetched is dealt by document; the sums of all queries are formed there.
     steps = plan.where(F.col("least") * F.col("c") <= F.col("top"))
     floors = steps.groupBy("term").agg(F.min("least").alias("floor"))
     near = lists.join(floors, "term").where("impact >= floor").select("term", "key", "impact").repartition("key")
     sums = near.join(steps, "term").where("impact >= least").groupBy("key", "item").agg(F.sum(F.col("c") * F.col("impact")).alias("score"), F.sum("rest").alias("seen"))
-    limits = scratch.write(plan.groupBy("item").agg(F.sum("rest").alias("rest"), F.first("bound").alias("bound")), "limits")
+    limits = scratch.write(plan.groupBy("item").agg(F.sum("rest").alias("rest"), F.first("bound").alias("bound")).coalesce(files), "limits")
     fetched = sums.join(limits, "item").select("item", "key", "score", (F.col("score") + F.col("rest") - F.col("seen")).alias("most"), "bound").where("most >= bound")
     fetched = scratch.write(fetched, "fetched")
     better = scratch.write(_best(fetched, PROBED * k).select("item", "key"), "better")
     second = _kth(_looked_up(lists, better, wanted), k).unionByName(limits.select("item", "bound")).groupBy("item").agg(F.max("bound").alias("second"))
-    second = scratch.write(second, "second")
+    second = scratch.write(second.coalesce(files), "second")
     hopeful = scratch.write(fetched.join(second, "item").where("most >= second").select("item", "key"), "hopeful")
 
     # Phase 3: exact scores of the documents that may still be among the best.
