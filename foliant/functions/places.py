@@ -52,8 +52,8 @@ def title_case(s: Column) -> Column:
     return F.array_join(F.get(F.transform(F.array(split), lambda words: F.transform(words, lambda w, i: one(words, w, i))), F.lit(0)), " ")
 
 
-def country_codes(rows: DataFrame, name: str, codes: DataFrame | None = None) -> DataFrame:
-    """rows with country_code: by the overrides, else by codes (name, code), a table of the standard's names.
+def country_codes(rows: DataFrame, name: str, codes: DataFrame | None = None, misspelt: bool = False) -> DataFrame:
+    """rows with country_code: by the overrides, else by codes (name, code), a table of the standard's names, else, where misspelt, by the closest of those.
 
     Names are compared without case and outer blanks. Without codes, or for a name in neither, the code is NULL.
     """
@@ -63,12 +63,18 @@ def country_codes(rows: DataFrame, name: str, codes: DataFrame | None = None) ->
         return rows.withColumn("country_code", F.try_element_at(known, key))
     table = codes.groupBy(F.lower(F.trim("name")).alias("__name")).agg(F.min("code").alias("__code"))
     joined = rows.join(table, key == F.col("__name"), "left")
-    return joined.withColumn("country_code", F.coalesce(F.try_element_at(known, key), "__code")).drop("__name", "__code")
+    coded = joined.withColumn("country_code", F.coalesce(F.try_element_at(known, key), "__code")).drop("__name", "__code")
+    if not misspelt:
+        return coded
+    open_ = coded.where(F.col("country_code").isNull() & F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct()
+    near = closest_names(open_, codes.select(F.col("name").alias("match"))).join(codes.groupBy(F.col("name").alias("match")).agg(F.min("code").alias("__near")), "match")
+    near = near.select(F.col("name").alias("__name"), "__near")
+    return coded.join(near, F.col(name) == F.col("__name"), "left").withColumn("country_code", F.coalesce("country_code", "__near")).drop("__name", "__near")
 
 
-def allowed_edits(name: Column) -> Column:
-    """How many letters of a name may be wrong: none below four letters, one below eight, two from there on."""
-    return F.when(F.length(name) < 4, 0).when(F.length(name) < 8, 1).otherwise(2)
+def allowed_edits(letters: Column) -> Column:
+    """How many letters of a name of so many may be wrong: none below four, one below eight, two from there on."""
+    return F.when(letters < 4, 0).when(letters < 8, 1).otherwise(2)
 
 
 def closest_names(names: DataFrame, known: DataFrame) -> DataFrame:
@@ -80,13 +86,13 @@ def closest_names(names: DataFrame, known: DataFrame) -> DataFrame:
     """
     key = lambda c: F.lower(F.trim(F.col(c)))
     piece = lambda n, d, i: F.floor(n * i / (d + 1)).cast("int")
-    cut = known.select("match", key("match").alias("k")).where("k <> ''").distinct().withColumns({"n": F.length("k"), "d": allowed_edits(F.col("k"))})
+    cut = known.select("match", key("match").alias("k")).where("k <> ''").distinct().withColumns({"n": F.length("k"), "d": allowed_edits(F.length("k"))})
     cut = cut.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d"))))
     start, end = piece(F.col("n"), F.col("d"), F.col("i")), piece(F.col("n"), F.col("d"), F.col("i") + 1)
     cut = cut.select("match", "k", "d", "n", "i", F.substring("k", start + 1, end - start).alias("letters"))
     mine = names.select("name", key("name").alias("q")).where("q <> ''").distinct()
     mine = mine.withColumn("n", F.explode(F.sequence(F.greatest(F.length("q") - 2, F.lit(1)), F.length("q") + 2)))
-    mine = mine.withColumn("d", F.when(F.col("n") < 4, 0).when(F.col("n") < 8, 1).otherwise(2)).where(F.abs(F.length("q") - F.col("n")) <= F.col("d"))
+    mine = mine.withColumn("d", allowed_edits(F.col("n"))).where(F.abs(F.length("q") - F.col("n")) <= F.col("d"))
     mine = mine.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d")))).withColumn("shift", F.explode(F.sequence(-F.col("d"), F.col("d"))))
     start, end = piece(F.col("n"), F.col("d"), F.col("i")), piece(F.col("n"), F.col("d"), F.col("i") + 1)
     mine = mine.select("name", "q", "n", "i", F.substring("q", start + F.col("shift") + 1, end - start).alias("letters"), (start + F.col("shift")).alias("at")).where("at >= 0").drop("at").distinct()

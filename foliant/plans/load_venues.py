@@ -64,7 +64,7 @@ def scimago(c: Catalog, rows: DataFrame, as_of: Column, codes: DataFrame | None
         text.clean_string(t("Sourceid"), 50).alias("scopus_id"), text.clean_string(t("Publisher"), 512).alias("publisher"), t("Country").alias("country"), F.col("Categories").alias("categories"), values.decimal_thousands(F.col("SJR")).alias("sjr"),
         text.whole_number(F.col("`H index`")).alias("h_index"), values.flag(F.col("`Open Access`")).alias("open_access"),
     )
-    said = scratch.write(places.country_codes(said, "country", codes), "said")
+    said = scratch.write(places.country_codes(said, "country", codes, misspelt=True), "said")
     found = scratch.write(_found(c["venues"], said, [("scopus_id", F.col("scopus_id"), F.col("scopus_id"))]), "found")
     if dry_run:
         return c, found

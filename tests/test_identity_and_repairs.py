@@ -146,6 +146,14 @@ def test_misspelt_names_against_all_pairs(spark):
     assert {r.name: (r.edits, r.match) for r in places.closest_names(df, table).collect()} == want
 
 
+def test_codes_of_misspelt_countries(spark):
+    codes = spark.createDataFrame([("Germany", "DE"), ("Brazil", "BR"), ("Iran, Islamic Republic of", "IR")], "name string, code string")
+    rows = spark.createDataFrame([(1, "germany"), (2, "Gemany"), (3, "Brasil"), (4, "Iran"), (5, "Atlantis"), (6, None)], "id int, c string")
+    got = {r.id: r.country_code for r in places.country_codes(rows, "c", codes, misspelt=True).collect()}
+    assert got == {1: "DE", 2: "DE", 3: "BR", 4: "IR", 5: None, 6: None}
+    assert {r.id: r.country_code for r in places.country_codes(rows, "c", codes).collect()} == {1: "DE", 2: None, 3: None, 4: "IR", 5: None, 6: None}
+
+
 def test_title_split_and_deletion_of_odd_rows(spark):
     works = spark.createDataFrame([(1, "a: b: c", None), (2, ": x", None), (3, "x :", None), (4, None, None), (5, "a: b", "own"), (6, "", None), (7, "no", None)], "id long, title string, subtitle string")
     out = cleanup.run({"works": works}, ("title_subtitle",))[0]["works"]
