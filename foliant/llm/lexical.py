@@ -128,7 +128,8 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc_i
     wanted = scratch.write(wanted.join(weights, "term").select("item", "term", (F.col("times") * F.col("w")).alias("c")).coalesce(files), "weighed")
     m = 25 + _div(75 * F.col("n") * n_docs, F.lit(n_terms).cast("long"))
     impact = _div(F.lit(10**9).cast("long") * F.col("tf"), 1000 * F.col("tf") + 8 * m)
-    held = raw.where("term is not null").join(wanted.select("term").distinct(), "term", "left_semi")
+    sought = scratch.write(wanted.select("term").distinct().coalesce(files), "terms")
+    held = raw.where("term is not null").join(sought, "term", "left_semi")
     lists = held.select("term", impact.alias("impact"), "key").repartitionByRange("term", F.desc("impact"), "key").sortWithinPartitions("term", F.desc("impact"))
     lists = scratch.write(lists, "lists")
 
@@ -151,7 +152,7 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc_i
 
     # Phase 2: everything at or above the uniform threshold. What was fetched is dealt by document; the sums of all queries are formed there.
     steps = plan.where(F.col("least") * F.col("c") <= F.col("top"))
-    floors = steps.groupBy("term").agg(F.min("least").alias("floor"))
+    floors = scratch.write(steps.groupBy("term").agg(F.min("least").alias("floor")).coalesce(files), "floors")
     near = lists.join(floors, "term").where("impact >= floor").select("term", "key", "impact").repartition("key")
     sums = near.join(steps, "term").where("impact >= least").groupBy("key", "item").agg(F.sum(F.col("c") * F.col("impact")).alias("score"), F.sum("rest").alias("seen"))
     limits = scratch.write(plan.groupBy("item").agg(F.sum("rest").alias("rest"), F.first("bound").alias("bound")).coalesce(files), "limits")
