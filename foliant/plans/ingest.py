@@ -25,16 +25,17 @@ class Loaded(NamedTuple):
 
 
 def raw_files(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
-    """path, value of the *.json files of a tree; most: how many of each folder, by name. Names are told apart before files are read."""
+    """path, value of the *.json files of a tree; most: how many of each folder, by name. Names are told apart before files are read.
+
+    Files without a byte are no records: Spark's readers don't list them.
+    """
     tree = {"recursiveFileLookup": True, "pathGlobFilter": "*.json"}
     files = spark.read.options(wholetext=True, **tree).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    # A file without a byte has no row as text; names and sizes are listed without reading any file.
-    names = spark.read.format("binaryFile").options(**tree).load(path).select("path", "length")
-    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    files = files.where("value <> ''").unionByName(names.where("length = 0").select("path", F.lit("").alias("value")))
     if most is None:
         return files
+    names = spark.read.format("binaryFile").options(**tree).load(path).select("path")
     folder = Window.partitionBy(F.regexp_replace("path", "/[^/]*$", "")).orderBy("path")
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
     chosen = names.withColumn("__n", F.row_number().over(folder)).where(F.col("__n") <= most).select(bare("path").alias("__path"))
     return files.withColumn("__path", bare("path")).join(chosen, "__path", "left_semi").drop("__path")
 
