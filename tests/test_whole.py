@@ -54,6 +54,14 @@ def test_functions_do_not_cut(spark, function, want):
     assert spark.range(1).select(function(F.lit("a" + "b" * 200)).alias("x")).first().x == want
 
 
+@pytest.mark.parametrize("word, want", [("ßx", "ẞx"), ("ᾳx", "ᾼx"), ("ŉx", "ŉx"), ("éß", "Éß"), ("ǆx", "Ǆx")])
+def test_a_first_letter_becomes_one_letter_as_in_sql(spark, word, want):
+    import duckdb
+
+    assert spark.range(1).select(text.upper_first(F.lit(word)).alias("x")).first().x == want
+    assert duckdb.connect().sql(f"SELECT upper('{word[0]}')").fetchall()[0][0] + word[1:] == want
+
+
 def test_whole_tables(spark):
     n = {t: spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("customer", "orders", "lineitem", "part")}
     pairs = n["lineitem"].join(n["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey").distinct()
@@ -72,3 +80,20 @@ def test_core_institutions_at_their_production_limit(spark):
     t = adapters.Tables(spark, DATA)
     many = ranking.core_institutions(t.authorships, t.publications, t.venues, 10**6).count()
     assert registry.QUERIES["g11_core_institutions"](spark, DATA).count() == min(500, many) > 60
+
+
+def test_totals_are_rounded_as_in_sql(spark):
+    """The mean of 16 topics, 29 / 16, with 0.2 for open access and 6 for relevance is a double just below 8.0125."""
+    import duckdb
+
+    make = spark.createDataFrame
+    venues = make([(1, 1, 3)], "id long, open_access int, llm_relevance int")
+    topics = make([(k, 100 + (k < 13), "OpenAlex", "Topic") for k in range(16)], "id long, parent_id long, vocabulary string, subject_type string")
+    tiers = make([(100, "OpenAlex", "A", 1.0), (101, "OpenAlex", "A", 2.0)], "subject_id long, vocabulary string, tier string, weight double")
+    linked = make([(1, k, None) for k in range(16)], "venue_id long, subject_id long, score double")
+    wrote = make([], "work_id long, person_id long, affiliation_id long")
+    pubs = make([], "work_id long, venue_id long")
+    people = make([], "id long, h_index int")
+    refs = make([], "citing_work_id long, cited_work_id long")
+    total = ranking.rank(venues, linked, topics, tiers, wrote, pubs, people, refs).first().total_score
+    assert total == duckdb.connect().sql("SELECT round((29 / 16)::DOUBLE + 0.2::DOUBLE + 6, 3)").fetchall()[0][0] == 8.012
