@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import capped_ratio, confidence
+from ..functions.values import capped_ratio, confidence, rounded
 from ..scratch import Scratch
 
 
@@ -35,7 +35,7 @@ def authorship_scores(authorships: DataFrame, publications: DataFrame, persons:
     pairs = people.select("venue_id", "person_id").distinct()
     rows = pairs.join(persons.select(F.col("id").alias("person_id"), "h_index"), "person_id")
     by = rows.groupBy("venue_id").agg(F.count_if(F.col("h_index") >= 5).alias("x"), F.count(F.lit(1)).alias("n"))
-    return by.select("venue_id", F.round(capped_ratio(F.col("x"), F.col("n"), 10.0) * confidence(F.col("n")), 3).alias("authorship_score"))
+    return by.select("venue_id", rounded(capped_ratio(F.col("x"), F.col("n"), 10.0) * confidence(F.col("n")), 3).alias("authorship_score"))
 
 
 def core_institutions(authorships: DataFrame, publications: DataFrame, venues: DataFrame, most: int = 500, people: DataFrame | None = None) -> DataFrame:
@@ -54,7 +54,7 @@ def affiliation_scores(authorships: DataFrame, publications: DataFrame, venues:
     rows = people.join(core, "affiliation_id", "left")
     flags = rows.groupBy("venue_id", "person_id").agg(F.max("core").alias("core"), F.max(F.col("affiliation_id").isNotNull()).alias("placed"))
     by = flags.groupBy("venue_id").agg(F.count("core").alias("x"), F.count_if("placed").alias("n"), F.count(F.lit(1)).alias("all"))
-    return by.select("venue_id", F.round(capped_ratio(F.col("x"), F.col("n"), 15.0) * confidence(F.col("all")), 3).alias("affiliation_score"))
+    return by.select("venue_id", rounded(capped_ratio(F.col("x"), F.col("n"), 15.0) * confidence(F.col("all")), 3).alias("affiliation_score"))
 
 
 def citation_scores(references: DataFrame, publications: DataFrame, scores: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def citation_scores(references: DataFrame, publications: DataFrame, scores: Data
     edges = references.where("cited_work_id is not null").groupBy("citing_work_id", "cited_work_id").agg(F.count(F.lit(1)).alias("e"))
     out = edges.join(target.withColumnRenamed("work_id", "cited_work_id"), "cited_work_id").groupBy("citing_work_id").agg(F.sum(F.col("e") * F.col("m")).alias("n"), F.sum(F.col("e") * F.col("g")).alias("x"))
     by = publications.where("venue_id is not null").select(F.col("work_id").alias("citing_work_id"), "venue_id").join(out, "citing_work_id").groupBy("venue_id").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
-    return by.select("venue_id", F.round(capped_ratio(F.col("x"), F.col("n"), 40.0), 3).alias("citation_score"))
+    return by.select("venue_id", rounded(capped_ratio(F.col("x"), F.col("n"), 40.0), 3).alias("citation_score"))
 
 
 def rank(venues, venue_subjects, subjects, tiers, authorships, publications, persons, references) -> DataFrame:
@@ -83,7 +83,7 @@ def rank(venues, venue_subjects, subjects, tiers, authorships, publications, per
     llm = (F.coalesce("llm_relevance", F.lit(0)) * 2).cast("double").alias("llm_score")
     out = rows.select("venue_id", "subject_score", oa, *map(given, ["authorship_score", "affiliation_score", "citation_score"]), llm)
     total = sum([F.col(c) for c in out.columns[2:]], F.col("subject_score"))
-    return out.withColumn("total_score", F.when(on | (F.col("llm_score") > 0), F.round(total, 3)).otherwise(zero))
+    return out.withColumn("total_score", F.when(on | (F.col("llm_score") > 0), rounded(total, 3)).otherwise(zero))
 
 
 def scored(ranking: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def g16_reference_audit(spark, sf_dir):
 )
 def r21_subject_scores(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return ranking.subject_scores(t.venues, t.venue_subjects, t.subjects, t.tiers).withColumn("subject_score", F.round("subject_score", 6))
+    return ranking.subject_scores(t.venues, t.venue_subjects, t.subjects, t.tiers).withColumn("subject_score", values.rounded(F.col("subject_score"), 6))
 
 
 @over(
@@ -325,7 +325,7 @@ def f_values(spark, sf_dir):
     return o.select(
         k.alias("id"), values.decimal_thousands(F.concat(s, F.lit(",5"))).alias("thousands"), values.decimal_comma(F.concat(s, F.lit(",25"))).alias("comma"), values.flag(F.when(k % 2 == 0, "True").otherwise("no")).alias("flag"),
         values.language(F.lit("EN-us")).alias("lang"), values.pages_cleaned(F.concat(values.pages(s, (k + 9).cast("string")), F.lit(" pp."))).alias("pages"),
-        F.round(values.confidence(k % 60), 6).alias("confidence"), values.date_of_parts(F.array(F.year(d), F.month(d), F.dayofmonth(d))).alias("day"),
+        values.rounded(values.confidence(k % 60), 6).alias("confidence"), values.date_of_parts(F.array(F.year(d), F.month(d), F.dayofmonth(d))).alias("day"),
     )
 
 
