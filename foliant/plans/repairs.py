@@ -8,7 +8,7 @@ from ..functions import places
 from ..operators import cleanup_counts, titles
 from ..sources.records import _MESSAGE
 from . import delete_works, ingest, load
-from .registry import query, table
+from .registry import query, spread, table
 from .stored import cases, rows
 
 #: A raw record by the last digit of its order: broken, filtered, without DOI, without title, of a type and of a title that aren't loaded, one DOI
@@ -34,7 +34,7 @@ _MESSAGE_SQL = f"""named_struct('DOI', CASE WHEN k % 10 <> 2 THEN {_DOI} END, 't
 )
 def c2_load_rejects(spark, sf_dir):
     """Every raw record is loaded or rejected for one reason, and the observed counts add up."""
-    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey k")
+    o = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey k"))
     whole = F.to_json(F.struct(F.when(F.col("k") % 10 == 1, "filtered").alias("status"), F.expr(_MESSAGE_SQL).alias("message")))
     raw = o.select(F.concat(F.lit("/w/"), F.lpad(F.col("k").cast("string"), 12, "0")).alias("path"), F.when(F.col("k") % 10 == 0, '{"message": {"DOI": "10.5/').otherwise(whole).alias("value"))
     c = load.empty(spark)
@@ -70,7 +70,7 @@ def m37_apply_roles(spark, sf_dir):
       'editor', array(named_struct('given', 'Bo', 'family', {_BO})))"""
     o = table(spark, sf_dir, "orders").selectExpr("o_orderkey k")
     message = F.from_json(F.to_json(F.expr(record)), _MESSAGE.replace("\n", ""))
-    works = o.select(F.concat(F.lit("10.5/k"), F.col("k").cast("string")).alias("doi"), message.alias("message"), F.concat(F.lit("/w/"), F.col("k").cast("string")).alias("path"))
+    works = spread(o).select(F.concat(F.lit("10.5/k"), F.col("k").cast("string")).alias("doi"), message.alias("message"), F.concat(F.lit("/w/"), F.col("k").cast("string")).alias("path"))
     c, held = load.empty(spark), o.where("k % 3 <> 0")
     put = lambda name, df: c[name].unionByName(df, allowMissingColumns=True)
     people = held.selectExpr("k % 182 + 1 id", f"concat('Ana ', {_ANA}) preferred_name").distinct()

@@ -91,3 +91,16 @@ def test_role_audit(spark):
     assert {r.work_id: r.status for r in works.audit_roles(held, want, stored).collect()} == {1: "unchanged", 2: "changed", 3: "conflict", 9: "missing_db_record"}
     rows, _ = works.reconcile_authorships(held, want)
     assert [tuple(r) for r in rows.where("work_id = 2").collect()] == [(2, 1, "EDITOR", 2, 5, 1)]
+
+
+def test_many_rows_in_few_bytes_are_not_gathered_by_the_driver(spark, tmp_path):
+    registry.QUERIES["g24_scored_venues"](spark, DATA)
+    spark.range(1_000_000).selectExpr("id", "id % 7 s").coalesce(1).write.parquet(str(tmp_path / "t"))
+    d = spark.read.parquet(str(tmp_path / "t"))
+    plan = d.join(d.select("id", (F.col("s") + 1).alias("x")), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_records_are_built_by_more_than_one_task(spark):
+    keys = registry.table(spark, DATA, "orders").select("o_orderkey").coalesce(1)
+    assert registry.spread(keys).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
