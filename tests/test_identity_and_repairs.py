@@ -11,6 +11,7 @@ from foliant.operators import cleanup, entities, resolve, venues
 from foliant.operators.identity import connected, named_keys
 from foliant.operators.venue_conflicts import settle
 from foliant.plans import delete_works, ingest, load, load_venues
+from foliant.scratch import Scratch
 
 VENUE = "id long, name string, type string, issn string, eissn string, openalex_id string, scopus_id string, open_access int"
 
@@ -33,6 +34,23 @@ def test_connected_against_plain_search(spark):
     assert all(r.k == ["a:x1", "b:x1"] for r in kept)
 
 
+def test_rounds_of_a_long_chain_write_less_and_less(spark, monkeypatch):
+    """All rounds together write little more than the chain's pairs; each used to write every record again."""
+    n, written = 2000, []
+    write = Scratch.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    df = spark.range(n).select(F.col("id").alias("rid"), F.concat(F.lit("k"), "id").alias("a"), F.concat(F.lit("k"), F.col("id") + 1).alias("b"))
+    got = connected(df, "rid", F.array("a", "b"))
+    assert got.where("root = 0").count() == n
+    assert sum(written) < 12 * n
+
+
 def test_new_entities_share_no_unique_value(spark):
     """The three runs that used to make two entities of one."""
     orgs = load.empty(spark)["organizations"]
