@@ -83,6 +83,7 @@ def closest_names(names: DataFrame, known: DataFrame) -> DataFrame:
     A known name is cut into one piece more than edits are allowed: one piece at least stands unchanged in any name within
     reach, moved by no more places than that. Names meet known ones by length, piece and letters in one equi-join, so no pair that is
     within reach is lost, and none is compared that shares nothing. Equal names are matches of no edits; case is ignored.
+    The pieces of names, some sixty of each, pass into the join as they come; only the pairs that it leaves are told apart.
     """
     key = lambda c: F.lower(F.trim(F.col(c)))
     piece = lambda n, d, i: F.floor(n * i / (d + 1)).cast("int")
@@ -95,7 +96,7 @@ def closest_names(names: DataFrame, known: DataFrame) -> DataFrame:
     mine = mine.withColumn("d", allowed_edits(F.col("n"))).where(F.abs(F.length("q") - F.col("n")) <= F.col("d"))
     mine = mine.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d")))).withColumn("shift", F.explode(F.sequence(-F.col("d"), F.col("d"))))
     start, end = piece(F.col("n"), F.col("d"), F.col("i")), piece(F.col("n"), F.col("d"), F.col("i") + 1)
-    mine = mine.select("name", "q", "n", "i", F.substring("q", start + F.col("shift") + 1, end - start).alias("letters"), (start + F.col("shift")).alias("at")).where("at >= 0").drop("at").distinct()
+    mine = mine.select("name", "q", "n", "i", F.substring("q", start + F.col("shift") + 1, end - start).alias("letters"), (start + F.col("shift")).alias("at")).where("at >= 0").drop("at")
     pairs = mine.join(cut, ["n", "i", "letters"]).select("name", "q", "match", "k", "d").distinct()
     near = pairs.withColumn("edits", F.levenshtein("q", "k", 2)).where("edits between 0 and d")
     best = near.groupBy("name").agg(F.min(F.struct("edits", "match")).alias("b"))

@@ -198,3 +198,11 @@ def test_title_split_and_deletion_of_odd_rows(spark):
     left, gone = delete_works.delete_works({"works": works})
     assert {r.id: r.rule for r in gone.collect()} == {4: "placeholder", 6: "placeholder"} and left["works"].count() == 5
     assert delete_works.delete_works({"works": works.limit(0)})[1].count() == 0
+
+
+def test_pieces_of_names_are_not_grouped(spark):
+    """Some sixty rows a name: told apart, they would be a hash table of all pieces in each task."""
+    near = places.closest_names(spark.createDataFrame([("Frence",)], "name string"), spark.createDataFrame([("France",)], "match string"))
+    assert [tuple(r) for r in near.collect()] == [("Frence", "France", 1)]
+    groups = [x for x in near._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in x]
+    assert groups and not any("letters" in x for x in groups)
