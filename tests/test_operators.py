@@ -104,3 +104,19 @@ def test_many_rows_in_few_bytes_are_not_gathered_by_the_driver(spark, tmp_path):
 def test_records_are_built_by_more_than_one_task(spark):
     keys = registry.table(spark, DATA, "orders").select("o_orderkey").coalesce(1)
     assert registry.spread(keys).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+
+
+def test_sizes_of_joins_and_tasks(spark):
+    """What a shuffle has measured at more than 1 MB isn't gathered by the driver, and a task takes 16 MB of a shuffle; what a session sets itself stays."""
+    own = spark.newSession()
+    registry.QUERIES["g1_person_stats"](own, DATA)
+    rows = own.range(300_000).selectExpr("id k", "id * 7 v").repartition(4)
+    joined = rows.groupBy("k").agg(F.max("v").alias("v")).join(rows.selectExpr("k + 5 k", "v w").groupBy("k").agg(F.max("w").alias("w")), "k")
+    assert joined.count() == 299_995
+    joined.collect()
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16MB"
+    set_ = spark.newSession()
+    set_.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8MB")
+    registry.QUERIES["g1_person_stats"](set_, DATA)
+    assert set_.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8MB"
