@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import identifiers, text, values
 from ..functions.places import title_case
+from ..scratch import Scratch
 from .integrity import without_orphans
 from .keys import skip_on_conflict
 
@@ -57,11 +58,17 @@ CORE_ORPHANS = (
 
 
 def core_data(catalog: Catalog) -> Catalog:
-    """Children without their parent go, then persons that neither wrote nor teach anything. Missing tables are empty ones."""
-    out = dict(catalog)
+    """Children without their parent go, then persons that neither wrote nor teach anything. Missing tables are empty ones.
+
+    Only the keys of children meet their parents; what they lack, mostly little or nothing, is written down, so that the children themselves need not be shuffled.
+    """
+    out, scratch = dict(catalog), None
     for child, column, parent in CORE_ORPHANS:
         if child in out and parent in out:
-            out[child] = out[child].join(out[parent].select(F.col("id").alias(column)).distinct(), column, "left_semi").select(*out[child].columns)
+            scratch = scratch or Scratch(out[child].sparkSession, "orphans")
+            keys = out[child].select(column).where(F.col(column).isNotNull()).distinct()
+            lost = scratch.write(keys.join(out[parent].select(F.col("id").alias(column)), column, "left_anti"), f"{child}-{column}")
+            out[child] = out[child].where(F.col(column).isNotNull()).join(lost, column, "left_anti").select(*out[child].columns)
     uses = [(out[t], "person_id") for t in ("authorships", "course_instructors") if t in out]
     if "persons" in out and uses:
         out["persons"] = without_orphans(out["persons"], "id", *uses).select(*out["persons"].columns)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from foliant.operators import citations, keys, metrics, resolve, venues, works
+from foliant.operators import citations, cleanup, keys, metrics, resolve, venues, works
 from foliant.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -120,3 +120,14 @@ def test_sizes_of_joins_and_tasks(spark):
     set_.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8MB")
     registry.QUERIES["g1_person_stats"](set_, DATA)
     assert set_.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8MB"
+
+
+def test_children_are_not_shuffled_for_their_parents(spark):
+    own = spark.newSession()
+    registry.QUERIES["g1_person_stats"](own, DATA)
+    parents = {n: own.range(200_000).withColumn("x", F.lit(1)) for n in ("works", "persons")}
+    wrote = own.range(400_000).selectExpr("case when id > 1 then id % 200000 + if(id = 7, 900000, 0) end work_id", "if(id = 9, null, if(id = 8, -1, id % 200000)) person_id", "cast(id as string) role")
+    after = cleanup.core_data(parents | {"authorships": wrote})["authorships"]
+    assert sorted(r.role for r in wrote.join(after.select("role"), "role", "left_anti").collect()) == ["0", "1", "7", "8", "9"]
+    assert after.count() == 399_995 and after.columns == wrote.columns
+    assert "hashpartitioning" not in after._jdf.queryExecution().executedPlan().toString()
