@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bound import let
 from ..functions.text import filter_text
 from ..ship import to_workers
 
@@ -116,16 +117,20 @@ def exclusion_reason(title: Column, work_type: Column, source: str = "unknown",
 
     The type is normalised like the title, so types with a hyphen match no entry.
     """
-    kind, name = F.coalesce(filter_text(work_type), F.lit("")), F.coalesce(filter_text(title), F.lit(""))
 
     def say(what, value=None):
         return F.concat(F.lit(f"{source}:{what}"), value) if value is not None else F.lit(f"{source}:{what}")
 
-    rules = [F.when(kind.isin(*EXCLUDED_TYPES), say("work_type=", kind)), F.when(name == "", say("blank_title")), F.when(name.isin(*EXCLUDED_TITLES), say("title_exact=", name))]
-    rules += [F.when(name.rlike(p), say(f"title_pattern={label}")) for label, p in TITLE_PATTERNS]
-    if subtitle is not None:
-        rules += [F.when((F.length(subtitle) > 40) & subtitle.rlike(f"(?i){p}"), say(f"subtitle_pattern={label}")) for label, p in SUBTITLE_PATTERNS]
-    return F.coalesce(*rules)
+    def ruled(said):
+        kind, name = said["kind"], said["name"]
+        rules = [F.when(kind.isin(*EXCLUDED_TYPES), say("work_type=", kind)), F.when(name == "", say("blank_title")), F.when(name.isin(*EXCLUDED_TITLES), say("title_exact=", name))]
+        return F.coalesce(*rules, *[F.when(name.rlike(p), say(f"title_pattern={label}")) for label, p in TITLE_PATTERNS])
+
+    # Both are filtered once: each rule would do it anew.
+    reason = let(F.struct(F.coalesce(filter_text(work_type), F.lit("")).alias("kind"), F.coalesce(filter_text(title), F.lit("")).alias("name")), ruled)
+    if subtitle is None:
+        return reason
+    return F.coalesce(reason, *[F.when((F.length(subtitle) > 40) & subtitle.rlike(f"(?i){p}"), say(f"subtitle_pattern={label}")) for label, p in SUBTITLE_PATTERNS])
 
 
 def ingest(records: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:

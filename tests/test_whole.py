@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from test_operators import DATA
 
 from foliant.functions import text
-from foliant.functions.places import SMALL
+from foliant.functions.places import SMALL, title_case
 from foliant.operators import ranking
+from foliant.operators.titles import exclusion_reason
 from foliant.plans import adapters, registry
 
 
@@ -97,3 +98,23 @@ def test_totals_are_rounded_as_in_sql(spark):
     refs = make([], "citing_work_id long, cited_work_id long")
     total = ranking.rank(venues, linked, topics, tiers, wrote, pubs, people, refs).first().total_score
     assert total == duckdb.connect().sql("SELECT round((29 / 16)::DOUBLE + 0.2::DOUBLE + 6, 3)").fetchall()[0][0] == 8.012
+
+
+def test_joined_words_with_capitals_keep_their_form(spark):
+    one = lambda s: spark.range(1).select(title_case(F.lit(s)).alias("x")).first().x
+    assert one("under CC BY-NC 4.0 and IN/OUT of in-house A-frames") == "Under CC BY-NC 4.0 and IN/OUT of in-House A-Frames"
+    assert one("LICENSED UNDER CC BY-NC 4.0") == "Licensed Under Cc by-Nc 4.0"  # capitals throughout say nothing
+    assert one("o'neil met d'artagnan, mcdonald and (o)f 'twas éa of") == "O'Neil Met d'Artagnan, McDonald and (o)f 'Twas Éa Of"
+
+
+def test_marks_are_all_combining_characters(spark):
+    every = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    said = ["x".join(every[k : k + 4096]) for k in range(0, len(every), 4096)]
+    got = spark.createDataFrame([(k, s) for k, s in enumerate(said)], "k int, s string").select("k", text.without_marks(F.col("s")).alias("x")).collect()
+    assert all(r.x == "".join(c for c in unicodedata.normalize("NFKD", said[r.k]) if not unicodedata.combining(c)) for r in got)
+
+
+def test_titles_are_filtered_once_for_all_rules(spark):
+    rows = spark.createDataFrame([("Índice", "article")], "title string, kind string").select(exclusion_reason(F.col("title"), F.col("kind"), "x").alias("reason"))
+    assert rows.first().reason == "x:title_pattern=index-title"
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("a-z0-9") == 2
