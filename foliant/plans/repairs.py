@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import places
 from ..operators import cleanup_counts, titles
+from ..scratch import Scratch
 from ..sources.records import _MESSAGE
 from . import delete_works, ingest, load
-from .registry import query, spread, table
+from .registry import as_schema, query, spread, table
 from .stored import cases, rows
 
 #: A raw record by the last digit of its order: broken, filtered, without DOI, without title, of a type and of a title that aren't loaded, one DOI
@@ -68,11 +69,14 @@ def m37_apply_roles(spark, sf_dir):
     """Roles of stored works applied (authors stored, editors made), a second run's actions, of which there must be none, and the table after an undo."""
     record = f"""named_struct('DOI', concat('10.5/k', k), 'title', array('T'), 'author', array(named_struct('given', 'Ana', 'family', {_ANA}, 'affiliation', array(named_struct('name', concat('Institute ', chr(cast(97 + k % 5 AS int))))))),
       'editor', array(named_struct('given', 'Bo', 'family', {_BO})))"""
-    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey k")
-    message = F.from_json(F.to_json(F.expr(record)), _MESSAGE.replace("\n", ""))
-    works = spread(o).select(F.concat(F.lit("10.5/k"), F.col("k").cast("string")).alias("doi"), message.alias("message"), F.concat(F.lit("/w/"), F.col("k").cast("string")).alias("path"))
+    o = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey k"))
+    message = as_schema(o, record, _MESSAGE.replace("\n", ""))
+    works = o.select(F.concat(F.lit("10.5/k"), F.col("k").cast("string")).alias("doi"), message.alias("message"), F.concat(F.lit("/w/"), F.col("k").cast("string")).alias("path"))
+    # Written down once: every use would build the records, and the tables, anew.
+    scratch = Scratch(spark, "fixture")
+    works = scratch.write(works, "records")
     c, held = load.empty(spark), o.where("k % 3 <> 0")
-    put = lambda name, df: c[name].unionByName(df, allowMissingColumns=True)
+    put = lambda name, df: scratch.write(c[name].unionByName(df, allowMissingColumns=True), name)
     people = held.selectExpr("k % 182 + 1 id", f"concat('Ana ', {_ANA}) preferred_name").distinct()
     c = c | {
         "works": put("works", held.selectExpr("k + 1 id", "'T' title")), "publications": put("publications", held.selectExpr("k + 1 id", "k + 1 work_id", "concat('10.5/k', k) doi")), "persons": put("persons", people),
